@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presswork.catalog import fragments as sql
-from presswork.catalog.registry import CORPUS_SQL, corpus, query, table
+from presswork.catalog.registry import CORPUS_SQL, corpus, documents, query, table
 from presswork.functions import text as tx
 from presswork.operators import cleaning as cl
 from presswork.operators.terms import top_terms
@@ -89,14 +89,14 @@ def remove_sources(spark, folder):
 
 @query("X7", f"SELECT doc_id, {sql.joined(sql.treebank('text'))} AS tokens FROM documents")
 def treebank_tokens(spark, folder):
-    return table(spark, folder, "documents").select(
+    return documents(spark, folder).select(
         "doc_id", tx.join_tokens(tx.treebank_tokens(F.col("text"))).alias("tokens")
     )
 
 
 @query("X8", f"SELECT doc_id, {sql.joined(sql.lowered(sql.treebank('text')))} AS tokens FROM documents")
 def lower_tokens(spark, folder):
-    return table(spark, folder, "documents").select(
+    return documents(spark, folder).select(
         "doc_id", tx.join_tokens(tx.lower_tokens(tx.treebank_tokens(F.col("text")))).alias("tokens")
     )
 
@@ -104,7 +104,7 @@ def lower_tokens(spark, folder):
 @query("X9", f"SELECT doc_id, {sql.joined(sql.alphabetic(sql.lowered(sql.treebank('text'))))} AS tokens FROM documents")
 def alpha_tokens(spark, folder):
     tokens = tx.alpha_tokens(tx.lower_tokens(tx.treebank_tokens(F.col("text"))))
-    return table(spark, folder, "documents").select("doc_id", tx.join_tokens(tokens).alias("tokens"))
+    return documents(spark, folder).select("doc_id", tx.join_tokens(tokens).alias("tokens"))
 
 
 @query(
@@ -113,7 +113,7 @@ def alpha_tokens(spark, folder):
 )
 def drop_stop_words(spark, folder):
     tokens = tx.drop_stop_words(tx.lower_tokens(tx.treebank_tokens(F.col("text"))))
-    return table(spark, folder, "documents").select("doc_id", tx.join_tokens(tokens).alias("tokens"))
+    return documents(spark, folder).select("doc_id", tx.join_tokens(tokens).alias("tokens"))
 
 
 @query("X12", f"WITH {CORPUS_SQL} SELECT doc_id, {sql.clean('content')} AS cleaned FROM corpus")
@@ -174,7 +174,7 @@ def top_words_by_category(spark, folder):
     SELECT term, count(*) AS n FROM words WHERE term <> '' GROUP BY term ORDER BY n DESC, term LIMIT 100""",
 )
 def word_cloud_terms(spark, folder):
-    words = table(spark, folder, "documents").select(
+    words = documents(spark, folder).select(
         F.explode(F.split(tx.clean_text(F.col("text")), " ")).alias("term")
     )
     return top_terms(words.where("term <> ''").groupBy("term").agg(F.count(F.lit(1)).alias("n")), 100)
@@ -185,19 +185,19 @@ def word_cloud_terms(spark, folder):
     "SELECT doc_id, regexp_replace(strip_accents(text), '[^\\x00-\\x7F]', '', 'g') AS plain FROM documents",
 )
 def strip_accents(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", tx.strip_accents_ascii(F.col("text")).alias("plain"))
+    return documents(spark, folder).select("doc_id", tx.strip_accents_ascii(F.col("text")).alias("plain"))
 
 
 @query("X15", f"SELECT doc_id, {sql.joined(sql.words('text'))} AS tokens FROM documents")
 def word_tokens(spark, folder):
-    return table(spark, folder, "documents").select(
+    return documents(spark, folder).select(
         "doc_id", tx.join_tokens(tx.word_tokens(F.col("text"))).alias("tokens")
     )
 
 
 @query("X16", f"SELECT doc_id, {sql.joined(sql.words('text', stop=True))} AS tokens FROM documents")
 def word_tokens_without_stop_words(spark, folder):
-    return table(spark, folder, "documents").select(
+    return documents(spark, folder).select(
         "doc_id", tx.join_tokens(tx.word_tokens(F.col("text"), tx.STOP_WORDS)).alias("tokens")
     )
 
@@ -210,7 +210,7 @@ def word_tokens_without_stop_words(spark, folder):
     FROM grams GROUP BY doc_id""",
 )
 def word_ngrams(spark, folder):
-    grams = table(spark, folder, "documents").select(
+    grams = documents(spark, folder).select(
         "doc_id", tx.word_ngrams(tx.word_tokens(F.col("text"))).alias("g")
     )
     return grams.where(F.size("g") > 0).select(
@@ -230,7 +230,7 @@ def word_ngrams(spark, folder):
     FROM grams GROUP BY doc_id""",
 )
 def char_ngrams(spark, folder):
-    grams = table(spark, folder, "documents").select("doc_id", tx.char_ngrams(F.col("text")).alias("g"))
+    grams = documents(spark, folder).select("doc_id", tx.char_ngrams(F.col("text")).alias("g"))
     return grams.where(F.size("g") > 0).select(
         "doc_id",
         F.size("g").cast("bigint").alias("n_grams"),
@@ -242,13 +242,13 @@ def char_ngrams(spark, folder):
 
 @query("X19", f"SELECT doc_id, {sql.joined(sql.wordpunct('text'))} AS tokens FROM documents")
 def wordpunct_tokens(spark, folder):
-    return table(spark, folder, "documents").select(
+    return documents(spark, folder).select(
         "doc_id", tx.join_tokens(tx.wordpunct_tokens(F.col("text"))).alias("tokens")
     )
 
 
 @query("X20", f"SELECT doc_id, {sql.joined(sql.sequence('text'))} AS tokens FROM documents")
 def sequence_tokens(spark, folder):
-    return table(spark, folder, "documents").select(
+    return documents(spark, folder).select(
         "doc_id", tx.join_tokens(tx.sequence_tokens(F.col("text"))).alias("tokens")
     )

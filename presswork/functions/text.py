@@ -133,11 +133,11 @@ def strip_accents_ascii(text: Column) -> Column:
     singles, targets, expansions = _ascii_tables()
     pairs = "\x02".join(f"{char}\x01{plain}" for char, plain in expansions)
     longer = F.str_to_map(F.lit(pairs), F.lit("\x02"), F.lit("\x01"))
-    any_longer = "[" + "".join(char for char, _ in expansions) + "]"
+    without = F.translate(text, "".join(char for char, _ in expansions), "")
     spelled = F.array_join(
         F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(longer, c), c)), ""
     )
-    text = F.when(text.rlike(any_longer), spelled).otherwise(text)
+    text = F.when(F.length(without) < F.length(text), spelled).otherwise(text)
     return F.regexp_replace(F.translate(text, singles, targets), r"[^\x00-\x7F]", "")
 
 

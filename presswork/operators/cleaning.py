@@ -13,9 +13,14 @@ SOURCES_PER_STEP = 5_000
 
 
 def extract_sources(df: DataFrame, column: str = "content_cleaned") -> DataFrame:
-    """Distinct news sources that open a text."""
-    found = df.select(tx.dateline(F.col(column)).alias("source"))
-    return found.where(F.col("source") != "").distinct()
+    """Distinct news sources that open a text.
+
+    Taken as a list of zero or one match, so that the pattern runs once per
+    row: a filter on the extracted text would be evaluated again in the scan.
+    """
+    start = F.substring(F.col(column), 1, tx.DATELINE_CHARS)
+    found = F.regexp_extract_all(start, F.lit(tx.DATELINE), F.lit(0))
+    return df.select(F.explode(found).alias("source")).distinct()
 
 
 def merge_sources(first: DataFrame, second: DataFrame) -> DataFrame:

@@ -79,3 +79,19 @@ def keep_terms(terms: DataFrame, selected: DataFrame) -> DataFrame:
     )
     found = lookup_join(terms, staged(lists, "selected"), "term", weight="_total")
     return found.select(F.explode("_percents").alias("percent"), *terms.columns)
+
+
+def select_features(
+    cells: DataFrame,
+    sizes: dict[int, int],
+    value: str = "n",
+    percents: Sequence[int] = (10, 25, 50, 75),
+    fit_on: str = "split = 'train'",
+) -> DataFrame:
+    """Score on the fitting split, keep the best terms of every percentile in all splits.
+
+    The cells are staged: they are read twice, and tokenising twice costs more.
+    """
+    cells = staged(cells, "cells")
+    scores = anova_f(cells.where(fit_on), sizes, value)
+    return keep_terms(cells, select_percentiles(scores, percents))

@@ -20,8 +20,8 @@ _ROW_BITS = 33
 
 def _placed(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
     place = F.monotonically_increasing_id()
-    return staged(df.orderBy(*order).withColumn("_place", place), "sorted").withColumn(
-        "_part", F.shiftright("_place", _ROW_BITS)
+    return staged(df.orderBy(*order).withColumn("_row_place", place), "sorted").withColumn(
+        "_row_part", F.shiftright("_row_place", _ROW_BITS)
     )
 
 
@@ -36,18 +36,18 @@ def global_rank(
     ``order`` should end in a unique key so that the result is fixed.
     """
     placed = _placed(df, order)
-    per_part = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    per_part = placed.groupBy("_row_part").agg(F.count(F.lit(1)).alias("_rows_in_part"))
+    before = Window.orderBy("_row_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_part.select(
-        "_part",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-        F.sum("_n").over(Window.partitionBy()).alias("_total"),
+        "_row_part",
+        F.coalesce(F.sum("_rows_in_part").over(before), F.lit(0)).alias("_rows_before"),
+        F.sum("_rows_in_part").over(Window.partitionBy()).alias("_rows_in_all"),
     )
-    row = F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    ranked = placed.join(F.broadcast(offsets), "_part").withColumn(name, F.col("_before") + row + 1)
+    row = F.col("_row_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    ranked = placed.join(F.broadcast(offsets), "_row_part").withColumn(name, F.col("_rows_before") + row + 1)
     if total:
-        ranked = ranked.withColumn(total, F.col("_total"))
-    return ranked.drop("_part", "_place", "_before", "_total")
+        ranked = ranked.withColumn(total, F.col("_rows_in_all"))
+    return ranked.drop("_row_part", "_row_place", "_rows_before", "_rows_in_all")
 
 
 def running_sums(
@@ -63,25 +63,25 @@ def running_sums(
     """
     keys = [by] if by else []
     placed = _placed(df, [*keys, *order])
-    per_part = placed.groupBy(*keys, "_part").agg(
+    per_part = placed.groupBy(*keys, "_row_part").agg(
         *[F.sum(source).alias(f"_sum_{new}") for new, source in sums.items()]
     )
-    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*keys).orderBy("_row_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_part.select(
         *keys,
-        "_part",
+        "_row_part",
         *[F.coalesce(F.sum(f"_sum_{new}").over(before), F.lit(0)).alias(f"_before_{new}") for new in sums],
     )
     inside = (
-        Window.partitionBy(*keys, "_part")
-        .orderBy("_place")
+        Window.partitionBy(*keys, "_row_part")
+        .orderBy("_row_place")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        placed.join(F.broadcast(offsets), [*keys, "_part"])
+        placed.join(F.broadcast(offsets), [*keys, "_row_part"])
         .select(
             "*",
             *[(F.sum(source).over(inside) + F.col(f"_before_{new}")).alias(new) for new, source in sums.items()],
         )
-        .drop("_part", "_place", *[f"_before_{new}" for new in sums])
+        .drop("_row_part", "_row_place", *[f"_before_{new}" for new in sums])
     )
