@@ -176,10 +176,12 @@ def describe_by_category(spark, folder):
 
 @query(
     "J1",
-    """SELECT doc_id, lang, quality AS predicted FROM documents LEFT JOIN labels USING (doc_id)""",
+    """SELECT doc_id, lang, quality::DOUBLE AS predicted FROM documents LEFT JOIN labels USING (doc_id)""",
 )
 def attach_predictions(spark, folder):
-    predictions = table(spark, folder, "labels").select("doc_id", F.col("quality").alias("predicted"))
+    predictions = table(spark, folder, "labels").select(
+        "doc_id", F.col("quality").cast("double").alias("predicted")
+    )
     return tb.attach_predictions(table(spark, folder, "documents").select("doc_id", "lang"), predictions)
 
 
