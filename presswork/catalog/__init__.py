@@ -8,6 +8,7 @@ def load() -> dict[str, Query]:
         cleaning,
         features,
         scores,
+        similarity,
         tables,
         vectors,
     )
