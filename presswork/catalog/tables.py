@@ -30,7 +30,7 @@ def read_corpus_csv(spark, folder):
     docs = corpus(spark, folder).select(
         "category", "headline", F.replace("text", F.lit("\n"), F.lit(" ")).alias("content")
     )
-    docs.write.option("quoteAll", True).option("escape", '"').csv(path)
+    docs.write.options(**src.KEEP_BLANKS).option("quoteAll", True).option("escape", '"').csv(path)
     return src.read_corpus_csv(spark, path)
 
 

@@ -61,10 +61,10 @@ def doc_embeddings(docs: DataFrame, tokens: Column, vectors: DataFrame) -> DataF
     rows = max(1, VECTOR_BYTES // (8 * max(size, 1)))
     found = lookup_join(counted, vectors, "word", broadcast_rows=rows)
     mean = Summarizer.mean(array_to_vector(F.col("vector").cast("array<double>")), F.col("n"))
-    means = found.groupBy("doc_id").agg(mean.alias("mean"))
+    means = found.groupBy("doc_id").agg(mean.alias("mean")).select("doc_id", vector_to_array("mean").alias("mean"))
     zeros = F.array_repeat(F.lit(0.0), size)
     joined = placed.select("doc_id").join(means, "doc_id", "left")
-    return joined.select("doc_id", F.coalesce(vector_to_array("mean"), zeros).alias("vec"))
+    return joined.select("doc_id", F.coalesce("mean", zeros).alias("vec"))
 
 
 def similar_words(vectors: DataFrame, words: Sequence[str], k: int = 5, key: str = "word") -> DataFrame:

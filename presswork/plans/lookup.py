@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# rows a broadcast may hold, and how many of the busiest keys are split off beyond that
-BROADCAST_ROWS = 400_000
+# rows of (key, a few numbers) a broadcast may hold: some 100 MB as a hash table
+BROADCAST_ROWS = 1_000_000
+# beyond that: how many of the busiest keys are split, and into how many parts
 HEAVY_KEYS = 10_000
+PARTS = 64
 
 
 def lookup_join(
@@ -17,21 +19,26 @@ def lookup_join(
     how: str = "inner",
     weight: str | None = None,
     broadcast_rows: int | None = None,
-    heavy_keys: int | None = None,
+    heavy_keys: int = HEAVY_KEYS,
+    parts: int = PARTS,
 ) -> DataFrame:
     """Join ``big`` with a staged table holding one row per ``key``.
 
     ``keyed`` is counted first (a metadata read on a staged table). Up to
-    ``broadcast_rows`` it is broadcast and ``big`` does not move. Beyond that
-    the ``heavy_keys`` rows with the largest ``weight`` are broadcast, a bounded
-    number, so that the shuffle of the others has no hot key.
+    ``broadcast_rows`` it is broadcast and ``big`` does not move. Beyond that it
+    is a shuffle join in which the ``heavy_keys`` keys with the largest
+    ``weight`` (rows expected in ``big``) are split: their lookup rows are
+    repeated ``parts`` times and their rows of ``big`` dealt over the parts by
+    hash. The list of heavy keys is broadcast; its length is the bound.
     """
     limit = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
     if keyed.count() <= limit:
         return big.join(F.broadcast(keyed), key, how)
-    if weight is None or how not in ("inner", "left_semi"):
+    if weight is None:
         return big.join(keyed, key, how)
-    busiest = keyed.orderBy(F.desc(weight), key).limit(HEAVY_KEYS if heavy_keys is None else heavy_keys)
-    hot = big.join(F.broadcast(busiest), key, how)
-    rest = big.join(F.broadcast(busiest.select(key)), key, "left_anti")
-    return hot.unionByName(rest.join(keyed, key, how))
+    heavy = keyed.orderBy(F.desc(weight), key).limit(heavy_keys).select(key, F.lit(True).alias("_heavy"))
+    part = F.when(F.col("_heavy"), F.pmod(F.xxhash64(*big.columns), F.lit(parts)).cast("int")).otherwise(0)
+    dealt = big.join(F.broadcast(heavy), key, "left").withColumn("_part", part).drop("_heavy")
+    every = F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
+    copies = keyed.join(F.broadcast(heavy), key, "left").withColumn("_part", F.explode(every)).drop("_heavy")
+    return dealt.join(copies, [key, "_part"], how).drop("_part")

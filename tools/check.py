@@ -27,7 +27,7 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 
 def normal(frame: pd.DataFrame) -> pd.DataFrame:
     frame = frame[sorted(frame.columns)].copy()
-    keys = frame.map(lambda v: repr(round(v, 5)) if isinstance(v, float) else repr(v))
+    keys = frame.map(lambda v: f"{v:.5g}" if isinstance(v, float) else repr(v))
     order = keys.sort_values(list(keys.columns)).index if len(frame.columns) else frame.index
     return frame.loc[order].reset_index(drop=True)
 
