@@ -157,9 +157,10 @@ def top_words_by_category(spark, folder):
     """
     from pyspark.sql import Window
 
-    cleaned = corpus(spark, folder).select("category", F.split(tx.clean_text(F.col("text")), " ").alias("words"))
+    words = F.split(tx.clean_text(F.col("text")), " ")
     counted = (
-        cleaned.select("category", F.explode("words").alias("term"))
+        corpus(spark, folder)
+        .select("category", F.explode(words).alias("term"))
         .where("term <> ''")
         .groupBy("category", "term")
         .agg(F.count(F.lit(1)).alias("n"))
