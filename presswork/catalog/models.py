@@ -257,6 +257,20 @@ def _fit_and_score(spark, folder, make):
     return model.predict(rows)
 
 
+@query("I1 M2 J7")
+def top_logistic_weights(spark, folder):
+    """Strongest word n-grams of a logistic model on counts, per class, bias included."""
+    docs = corpus(spark, folder)
+    grams = tx.word_ngrams(tx.word_tokens(F.col("text")))
+    known = tm.fit_vocabulary(docs.where(TRAIN), grams)
+    counts = tm.count_vectorize(docs.where(TRAIN), grams, known, ("split", "category"))
+    kept = staged(sel.select_features(counts, sel.class_sizes(docs.where(TRAIN)), "n", [10]), "kept")
+    places = staged(tm.number_vocabulary(kept.select("term").distinct()), "places")
+    rows = ct.pack_vectors(kept, places, places.count(), "n", ("category",))
+    model = md.fit_binary_relevance(staged(rows, "packed"), md.logistic(sum(sel.class_sizes(docs).values())), CLASSES)
+    return ex.strongest(ex.name_positions(md.weight_table(spark, model), places), 10)
+
+
 @query("M1 M7")
 def linear_svm(spark, folder):
     return _fit_and_score(spark, folder, md.linear_svm)
@@ -300,7 +314,7 @@ def feature_sweep(spark, folder):
             kept = staged(sel.select_features(cells, sizes, value, [10]), "kept")
             places = staged(tm.number_vocabulary(kept.select("term").distinct()), "places")
             families[f"{kind}-{name}"] = ct.pack_vectors(kept, places, places.count(), value, ("split", "category"))
-    return va.feature_sweep(families, va.estimator_fitter(md.linear_svm), CLASSES)
+    return va.feature_sweep(families, va.estimator_fitter(lambda n: md.linear_svm(n, tol=1e-3, max_iter=20)), CLASSES)
 
 
 @query("V1 N4")
@@ -312,13 +326,15 @@ def cross_validate(spark, folder):
 @query("V3")
 def grid_search_logistic(spark, folder):
     grid = va.logistic_grid([1e-4, 1e-2, 1.0, 100.0])
-    return va.grid_search(document_vectors(spark, folder), grid, md.logistic, CLASSES, train_scores=True)
+    make = lambda n, **setting: md.logistic(n, max_iter=20, **setting)
+    return va.grid_search(document_vectors(spark, folder), grid, make, CLASSES, train_scores=True)
 
 
 @query("V4")
 def grid_search_svm(spark, folder):
     grid = va.svm_grid([1e-3, 1e-1, 10.0], [1e-6, 1e-2])
-    return va.grid_search(document_vectors(spark, folder), grid, md.linear_svm, CLASSES)
+    make = lambda n, **setting: md.linear_svm(n, max_iter=20, **setting)
+    return va.grid_search(document_vectors(spark, folder), grid, make, CLASSES)
 
 
 @query("V5")

@@ -103,12 +103,18 @@ def top_terms(totals: DataFrame, k: int) -> DataFrame:
 
 
 def build_word_ids(docs: DataFrame, tokens: Column) -> DataFrame:
-    """(word, n, word_id): ids from 1 by descending count, first-seen order in a tie; 0 pads."""
-    seen = docs.select("doc_id", F.posexplode(tokens).alias("pos", "word"))
-    counted = seen.groupBy("word").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "pos")).alias("first")
+    """(word, n, word_id): ids from 1 by descending count, first-seen order in a tie; 0 pads.
+
+    Words are first counted inside each document, where the documents already
+    lie; then only one row per task and word is shuffled. Both steps keep
+    numbers in their buffers and stay hash aggregations.
+    """
+    seen = docs.repartition("doc_id").select("doc_id", F.posexplode(tokens).alias("pos", "word"))
+    inside = seen.groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("pos"))
+    counted = inside.groupBy("word").agg(
+        F.sum("n").alias("n"), F.min("doc_id").alias("doc_id"), F.min_by("pos", "doc_id").alias("pos")
     )
-    ranked = global_rank(counted, [F.desc("n"), "first"], "word_id")
+    ranked = global_rank(counted, [F.desc("n"), "doc_id", "pos"], "word_id")
     return ranked.select("word", "n", "word_id")
 
 
