@@ -44,6 +44,7 @@ def main() -> None:
     spark = local_session(cores)
     catalog = load()
     times: dict[str, float] = {}
+    begun = time.perf_counter()
 
     def run(name: str) -> float:
         start = time.perf_counter()
@@ -57,7 +58,7 @@ def main() -> None:
         times[name] = round(statistics.median(run(name) for _ in range(repeats)), 3)
         print(f"{name} {times[name]}", file=sys.stderr, flush=True)
 
-    details: dict[str, float] = {}
+    details: dict[str, object] = {}
     if not sys.argv[1:]:
         rows = document_vectors(spark, folder)
         details["cv_rows"] = rows.count()
@@ -71,6 +72,17 @@ def main() -> None:
                 details[f"{label}_{metric}"] = round(statistics.mean(values), 4)
             print(f"{label} {times[label]}", file=sys.stderr, flush=True)
 
+    # one fold at the size of the published numbers, unless the machine is too slow for it
+    if not sys.argv[1:] and time.perf_counter() - begun < float(os.environ.get("BENCH_SCALE_AFTER", "600")):
+        sys.path.insert(0, os.path.join(os.path.dirname(os.path.abspath(__file__)), "tools"))
+        from reference_scale import measure
+
+        for algo, values in measure(spark, folder).items():
+            label = "line_fold_" + algo.lower().replace("/", "_").replace(" ", "_")
+            details[label] = values
+            if isinstance(values, dict):
+                times[f"{label}_fit"], times[f"{label}_score"] = values["fit_time"], values["score_time"]
+
     print(
         json.dumps(
             {
