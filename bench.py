@@ -12,6 +12,7 @@ from presswork.catalog import load
 from presswork.catalog.models import document_vectors
 from presswork.catalog.registry import CLASSES
 from presswork.operators import validation as va
+from presswork.plans.stage import clear
 from presswork.session import local_session
 
 HEADLINE = [
@@ -95,6 +96,7 @@ def main() -> None:
             }
         )
     )
+    clear(spark)
     spark.stop()
 
 

@@ -32,6 +32,9 @@ CHARS_SQL = f"""{CORPUS_SQL},
 FIT_SQL = """counts AS (SELECT doc_id, split, category, term, count(*) AS n FROM occ GROUP BY ALL),
     vocab AS (SELECT term, count(*) AS df FROM counts WHERE split = 'train' GROUP BY term HAVING count(*) >= 2),
     bag AS (SELECT c.*, v.df FROM counts c JOIN vocab v USING (term))"""
+ALL_SQL = """counts AS (SELECT doc_id, term, count(*) AS n FROM occ GROUP BY ALL),
+    vocab AS (SELECT term, count(*) AS df FROM counts GROUP BY term HAVING count(*) >= 2),
+    totals AS (SELECT term, CAST(sum(n) AS BIGINT) AS n FROM counts JOIN vocab USING (term) GROUP BY term)"""
 TFIDF_SQL = """weighted AS (SELECT doc_id, split, category, term,
       (1 + ln(n)) * (ln((1.0 + (SELECT count(*) FROM corpus WHERE split = 'train')) / (1.0 + df)) + 1) AS w FROM bag),
     unit AS (SELECT doc_id, split, category, term,
@@ -110,21 +113,20 @@ def tfidf_char_totals(spark, folder):
     return tm.tfidf_totals(weights(spark, folder, CHARS).where(TRAIN))
 
 
-@query(
-    "A4",
-    f"WITH {WORDS_SQL}, {FIT_SQL} SELECT term, CAST(sum(n) AS BIGINT) AS n FROM bag WHERE split = 'train' GROUP BY term",
-)
+def _totals(spark, folder, tokens):
+    docs = corpus(spark, folder)
+    known = tm.fit_vocabulary(docs, tokens(F.col("text")))
+    return tm.term_totals(docs, tokens(F.col("text")), known)
+
+
+@query("A4", f"WITH {WORDS_SQL}, {ALL_SQL} SELECT term, n FROM totals")
 def term_totals(spark, folder):
-    docs, vocabulary = fitted(spark, folder, WORDS)
-    return tm.term_totals(docs.where(TRAIN), WORDS(F.col("text")), vocabulary)
+    return _totals(spark, folder, WORDS)
 
 
-@query(
-    "A7",
-    f"WITH {GRAMS_SQL}, {FIT_SQL} SELECT term, df FROM vocab",
-)
+@query("A7", f"WITH {GRAMS_SQL}, {ALL_SQL} SELECT term, df FROM vocab")
 def document_frequencies(spark, folder):
-    return tm.document_frequencies(corpus(spark, folder).where(TRAIN), GRAMS(F.col("text")), 2)
+    return tm.document_frequencies(corpus(spark, folder), GRAMS(F.col("text")), 2)
 
 
 @query(
@@ -136,23 +138,14 @@ def vocabulary(spark, folder):
     return tm.number_vocabulary(fitted(spark, folder, WORDS)[1])
 
 
-@query(
-    "W1",
-    f"""WITH {WORDS_SQL}, {FIT_SQL} SELECT term, CAST(sum(n) AS BIGINT) AS n FROM bag
-    WHERE split = 'train' GROUP BY term ORDER BY n DESC, term LIMIT 40""",
-)
+@query("W1", f"WITH {WORDS_SQL}, {ALL_SQL} SELECT term, n FROM totals ORDER BY n DESC, term LIMIT 40")
 def top_terms(spark, folder):
-    return tm.top_terms(term_totals(spark, folder), 40)
+    return tm.top_terms(_totals(spark, folder, WORDS), 40)
 
 
-@query(
-    "W2",
-    f"""WITH {GRAMS_SQL}, {FIT_SQL} SELECT term, CAST(sum(n) AS BIGINT) AS n FROM bag
-    WHERE split = 'train' GROUP BY term ORDER BY n DESC, term LIMIT 20""",
-)
+@query("W2", f"WITH {GRAMS_SQL}, {ALL_SQL} SELECT term, n FROM totals ORDER BY n DESC, term LIMIT 20")
 def top_word_ngrams(spark, folder):
-    docs, known = fitted(spark, folder, GRAMS)
-    return tm.top_terms(tm.term_totals(docs.where(TRAIN), GRAMS(F.col("text")), known), 20)
+    return tm.top_terms(_totals(spark, folder, GRAMS), 20)
 
 
 @query(

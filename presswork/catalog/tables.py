@@ -12,7 +12,7 @@ from presswork.functions.numbers import first_argmax, round_even
 from presswork.functions.wordlists import CLASS_NAMES
 from presswork.operators import sampling as sm
 from presswork.operators import tables as tb
-from presswork.plans.stage import checkpoint_root
+from presswork.plans.stage import stage_folder
 from presswork.sources import tables as src
 
 NAMES_SQL = "names AS (SELECT * FROM (VALUES " + ", ".join(
@@ -21,7 +21,7 @@ NAMES_SQL = "names AS (SELECT * FROM (VALUES " + ", ".join(
 
 
 def _path(spark, label):
-    return f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{stage_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 @query("S1", f"WITH {CORPUS_SQL} SELECT category, headline, replace(text, chr(10), ' ') AS content FROM corpus")

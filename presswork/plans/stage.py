@@ -27,9 +27,19 @@ def checkpoint_root(spark: SparkSession) -> str:
     return folder.name
 
 
+def stage_folder(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark)}/presswork-{spark.sparkContext.applicationId}"
+
+
 def staged(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once and return the written table."""
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{stage_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete the staged tables of this application; results not yet read are lost."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stage_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -6,6 +6,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent / "tools"))
 
+from presswork.plans.stage import clear  # noqa: E402
 from presswork.session import local_session  # noqa: E402
 
 
@@ -13,4 +14,5 @@ from presswork.session import local_session  # noqa: E402
 def spark():
     session = local_session(8, memory="8g")
     yield session
+    clear(session)
     session.stop()

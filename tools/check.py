@@ -83,6 +83,9 @@ def main() -> int:
             verdict, spent, other, left = f"ERROR {type(error).__name__} {str(error)[:700]}", 0.0, 0.0, []
         failures += not verdict.startswith(("ok", "rows"))
         print(f"{name:32s} {len(left):8d} spark {spent:6.2f} duckdb {other:6.2f}  {verdict[:900]}", flush=True)
+    from presswork.plans.stage import clear
+
+    clear(spark)
     return failures
 
 
