@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presswork.llm import exact_dedup, language_id, mixing
+from presswork.llm import exact_dedup, language_id, minhash, mixing
 from presswork.llm.shared import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,9 @@ def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """How many words of each document a mix of all sources takes."""
     return mixing.mixture(table(spark, folder, "documents"))
+
+
+@query()
+def op10_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Class of near-duplicates of every document; the smallest doc_id of each stays."""
+    return minhash.near_duplicates(table(spark, folder, "documents"))
