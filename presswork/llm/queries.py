@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presswork.llm import exact_dedup, language_id, minhash, mixing
+from presswork.llm import exact_dedup, language_id, minhash, mixing, sentencepiece_codec
 from presswork.llm.shared import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,6 +69,17 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixture(table(spark, folder, "documents"))
 
 
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query()
+def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Sampled pieces of every document, told by their number and checksum, and decoded again."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    encoded = sentencepiece_codec.encode(docs, PIECES)
+    return sentencepiece_codec.digest(encoded, PIECES).drop("text", "ids")
+
+
 @query()
 def op10_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """Class of near-duplicates of every document; the smallest doc_id of each stays."""
