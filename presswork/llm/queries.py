@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presswork.llm import exact_dedup, language_id, minhash, mixing, sentencepiece_codec
+from presswork.llm import exact_dedup, language_id, minhash, mixing, sentencepiece_codec, token_files
 from presswork.llm.shared import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,6 +44,17 @@ def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, folder, "documents"))
 
 
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+END = 1
+
+
+@query()
+def op7_token_output(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids of all documents, written in ascending doc_id order and read back."""
+    files = token_files.write_token_files(table(spark, folder, "documents"), WORDS, END)
+    return token_files.read_documents(files)
+
+
 @query(
     r"""WITH sized AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
       -ln((CAST('0x' || md5(CAST(doc_id AS VARCHAR))[1:13] AS BIGINT) + 0.5) / 4503599627370496.0)
@@ -76,8 +87,7 @@ PIECES = public_tokenizers.path("piece_bpe_32k.model")
 def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Sampled pieces of every document, told by their number and checksum, and decoded again."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    encoded = sentencepiece_codec.encode(docs, PIECES)
-    return sentencepiece_codec.digest(encoded, PIECES).drop("text", "ids")
+    return sentencepiece_codec.round_trip(docs, PIECES).drop("text")
 
 
 @query()

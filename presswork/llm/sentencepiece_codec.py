@@ -26,7 +26,9 @@ from presswork.llm.words import Sums
 
 BLANK = 0x2581  # the vocabulary's stand-in for a blank
 LITERAL = 0x110000  # a stand-in that occurs in a text itself
-KEPT_CHARACTERS = 2_000_000
+KEPT_CHARACTERS = 1_000_000
+# bytes of text that are encoded together
+TOGETHER = 1_000_000
 SHARPNESS = 1.0
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -299,40 +301,64 @@ def encode(
     row = f"_{name}_row"
 
     def run(batches):
-        encoder = encoder_of(path, sharpness, seed)
         for batch in batches:
-            keys = batch.column(row).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
             parts, ends = [], [np.zeros(1, np.int64)]
-            for first, part in pieces(batch, text, 2_000_000):
-                ids, bounds = encoder.encode(part, keys[first : first + len(part)])
+            for _, ids, bounds in _encoded(batch, text, row, path, sharpness, seed):
                 parts.append(ids.astype(np.int32))
                 ends.append(bounds[1:] + ends[-1][-1])
             flat = np.concatenate(parts) if parts else np.empty(0, np.int32)
             yield {name: pa.ListArray.from_arrays(pa.array(np.concatenate(ends).astype(np.int32)), pa.array(flat))}
 
-    keyed = docs.withColumn(row, F.xxhash64(F.col(key)))
-    return add_columns(keyed, run, f"{name} array<int>").drop(row)
+    return add_columns(_keyed(docs, key, row), run, f"{name} array<int>").drop(row)
 
 
-def digest(encoded: DataFrame, path: str, text: str = "text", name: str = "ids") -> DataFrame:
-    """Adds n_pieces, pieces_crc32 (of the ids as little-endian unsigned 32-bit integers) and lossless:
+def _keyed(docs: DataFrame, key: str, row: str) -> DataFrame:
+    return docs.withColumn(row, F.xxhash64(F.col(key)))
 
-    whether decoding the pieces gives the text back; a null text counts as empty.
+
+def _encoded(batch, text, row, path, sharpness, seed):
+    """(rows, ids, bounds) of one slice of a batch after the other."""
+    encoder = encoder_of(path, sharpness, seed)
+    keys = batch.column(row).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+    for first, part in pieces(batch, text, TOGETHER):
+        yield part, *encoder.encode(part, keys[first : first + len(part)])
+
+
+def decode(encoded: DataFrame, path: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
+    """``encoded`` with the texts that its pieces spell; null ids give an empty text."""
+
+    def run(batches):
+        vocabulary = vocabulary_of(path)
+        for batch in batches:
+            yield {name: [vocabulary.decode(one or []) for one in batch.column(ids).to_pylist()]}
+
+    return add_columns(encoded, run, f"{name} string")
+
+
+def round_trip(
+    docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", seed: int = 0, sharpness: float = SHARPNESS
+) -> DataFrame:
+    """``docs`` with the digest of its sampled pieces, encoded and decoded in one pass:
+
+    n_pieces, pieces_crc32 (of the ids as little-endian unsigned 32-bit integers) and lossless
+    (decoding gives the text back; a null text counts as empty).
     """
+    names_of(docs, [key, text])
+    row = "_digest_row"
 
     def run(batches):
         import zlib
 
-        vocabulary = vocabulary_of(path)
+        vocabulary = vocabulary_of(path, sharpness)
         for batch in batches:
-            lists, texts = batch.column(name), batch.column(text)
-            ids, ends = lists.flatten().to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
-            ends = ends - ends[0]
-            out: dict[str, list] = {"n_pieces": np.diff(ends), "pieces_crc32": [], "lossless": []}
-            for i in range(len(batch)):
-                mine = ids[ends[i] : ends[i + 1]]
-                out["pieces_crc32"].append(zlib.crc32(mine.astype("<u4").tobytes()))
-                out["lossless"].append(vocabulary.decode(mine.tolist()) == (texts[i].as_py() or ""))
+            out: dict[str, list] = {"n_pieces": [], "pieces_crc32": [], "lossless": []}
+            for part, ids, bounds in _encoded(batch, text, row, path, sharpness, seed):
+                small = ids.astype("<u4")
+                for i, one in enumerate(part):
+                    mine = small[bounds[i] : bounds[i + 1]]
+                    out["n_pieces"].append(len(mine))
+                    out["pieces_crc32"].append(zlib.crc32(mine))
+                    out["lossless"].append(vocabulary.decode(mine.tolist()) == (one.as_py() or ""))
             yield out
 
-    return add_columns(encoded, run, "n_pieces long, pieces_crc32 long, lossless boolean")
+    return add_columns(_keyed(docs, key, row), run, "n_pieces long, pieces_crc32 long, lossless boolean").drop(row)
