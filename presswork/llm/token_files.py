@@ -13,6 +13,7 @@ the vocabulary's rules look at no neighbour beyond it, so a text's ids are those
 from __future__ import annotations
 
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -32,45 +33,47 @@ BATCH = 256
 
 
 class WordEncoder(dict):
-    """Ids of words as little-endian 32-bit bytes; new words are encoded together."""
+    """Ids of words as little-endian 32-bit bytes; a word that is met first is encoded then.
+
+    The whole tokenizer encodes texts that spell a special token, and words with anything but
+    small Latin letters. Words of those letters alone pass its normaliser and splitting rule
+    unchanged, so they go to its model at once; a full stop or comma after one is a token apart.
+    """
 
     def __init__(self, path: str):
         super().__init__()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
+        self.shown = _byte_characters()
 
     def ids(self, text: str) -> bytes:
         small = _lower(text)
         if any(s in small for s in self.special):
-            return self.encode_all([text])[0]
-        words = small.split(" ")
-        try:
-            return b"".join(map(self.__getitem__, words))
-        except KeyError:
-            self.learn(words)
-            return b"".join(map(self.__getitem__, words))
-
-    def learn(self, words: list[str]) -> None:
-        new = {w for w in words if w not in self}
-        if len(self) + len(new) > KEPT_WORDS:
+            return self._whole(text)
+        return b"".join(map(self.__getitem__, small.split(" ")))
+
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= KEPT_WORDS:
             self.clear()
-            new = set(words)
-        # a word of plain letters and the mark after it are tokens apart
-        marked = {w for w in new if len(w) > 1 and w[-1] in ".," and _plain(w[:-1])}
-        todo = (new - marked) | {w[:-1] for w in marked} | {".", ","}
-        todo = sorted(w for w in todo if w not in self)
-        self.update(zip(todo, self.encode_all(todo), strict=True))
-        for w in marked:
-            self[w] = self[w[:-1]] + self[w[-1]]
+        if _plain(word):
+            shown = word if word.isascii() else word.encode().decode("latin-1").translate(self.shown)
+            found = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+        elif len(word) > 1 and word[-1] in ".," and _plain(word[:-1]):
+            found = self[word[:-1]] + self[word[-1]]
+        else:
+            found = self._whole(word)
+        self[word] = found
+        return found
 
 
 _UPPER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)} | {c: 0x20 for c in range(0x09, 0x0E)}
+_BYTES = bytes(_UPPER.get(i, i) for i in range(256))
 
 
 def _lower(text: str) -> str:
@@ -78,11 +81,16 @@ def _lower(text: str) -> str:
     return text.encode().translate(_BYTES).decode()
 
 
-_BYTES = bytes(_UPPER.get(i, i) for i in range(256))
+def _plain(word: str) -> bool:
+    return word.isalpha() and word.islower() and max(word) < "\u0250"
 
 
-def _plain(word: str) -> bool:
-    return word.isalpha() and max(word) < "ɐ"
+def _byte_characters() -> dict[int, int]:
+    """The character that stands for each byte in byte-level vocabularies: itself where it can be
+    printed, else the next from U+0100 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: 0x100 + i for i, b in enumerate(hidden)}
 
 
 @lru_cache(maxsize=2)
