@@ -2,7 +2,7 @@
 
 Documents are dealt by ranges of their key and sorted, so the files in order hold the ids of all
 documents in ascending key order. A task encodes its documents and writes its ids as sequences of
-equal length with a mask (0 for padding, in the last sequence of a file only), a batch at a time;
+equal length with a bit mask (0 for padding, in the last sequence of a file only), a batch at a time;
 an index file beside it has each document's start. Readers map the file and reach any sequence,
 or any document's ids, without copying.
 
@@ -27,13 +27,15 @@ from presswork.llm.shared import arrow_rows, names_of, whole_text
 from presswork.plans.stage import staged
 
 LENGTH = 2048
-KEPT_WORDS = 500_000
+KEPT_WORDS = 1_000_000
 # sequences of a batch of a file
 BATCH = 256
 
 
 class WordEncoder(dict):
-    """Ids of words as little-endian 32-bit bytes; a word that is met first is encoded then.
+    """Ids of words as bytes of ``kind``, the smallest unsigned type that holds the vocabulary.
+
+    A word that is met first is encoded then.
 
     The whole tokenizer encodes texts that spell a special token, and words with anything but
     small Latin letters. Words of those letters alone pass its normaliser and splitting rule
@@ -48,6 +50,7 @@ class WordEncoder(dict):
         self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.shown = _byte_characters()
+        self.kind = id_type(self.tokenizer.get_vocab_size())
 
     def ids(self, text: str) -> bytes:
         small = _lower(text)
@@ -56,14 +59,14 @@ class WordEncoder(dict):
         return b"".join(map(self.__getitem__, small.split(" ")))
 
     def _whole(self, text: str) -> bytes:
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        return array(self.kind.char, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= KEPT_WORDS:
             self.clear()
         if _plain(word):
             shown = word if word.isascii() else word.encode().decode("latin-1").translate(self.shown)
-            found = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+            found = array(self.kind.char, [t.id for t in self.model.tokenize(shown)]).tobytes()
         elif len(word) > 1 and word[-1] in ".," and _plain(word[:-1]):
             found = self[word[:-1]] + self[word[-1]]
         else:
@@ -72,6 +75,10 @@ class WordEncoder(dict):
         return found
 
 
+def id_type(vocabulary: int) -> np.dtype:
+    return np.dtype(np.uint16 if vocabulary <= 1 << 16 else np.uint32)
+
+
 _UPPER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)} | {c: 0x20 for c in range(0x09, 0x0E)}
 _BYTES = bytes(_UPPER.get(i, i) for i in range(256))
 
@@ -108,37 +115,37 @@ INDEX = pa.schema([("place", pa.int64()), ("start", pa.int64()), ("n_tokens", pa
 class _Writer:
     """Packs ids into sequences and writes them in batches."""
 
-    def __init__(self, path: str, length: int):
-        self.length, self.rest, self.total, self.held = length, [], 0, 0
-        self.schema = pa.schema([("ids", pa.list_(pa.uint32(), length)), ("mask", pa.list_(pa.uint8(), length))])
+    def __init__(self, path: str, length: int, kind: np.dtype):
+        self.length, self.kind, self.rest, self.total, self.held = length, kind, [], 0, 0
+        self.schema = pa.schema([("ids", pa.list_(pa.from_numpy_dtype(kind), length)), ("mask", pa.list_(pa.bool_(), length))])
         self.out = open_out(path)
         self.file = pa.ipc.new_file(self.out, self.schema)
 
     def add(self, ids: bytes) -> None:
         self.rest.append(ids)
         self.held += len(ids)
-        self.total += len(ids) // 4
-        if self.held >= 4 * self.length * BATCH:
+        self.total += len(ids) // self.kind.itemsize
+        if self.held >= self.kind.itemsize * self.length * BATCH:
             self._flush(self.length * BATCH)
 
     def _flush(self, step: int) -> None:
-        flat = np.frombuffer(b"".join(self.rest), dtype="<u4")
+        flat = np.frombuffer(b"".join(self.rest), dtype=self.kind)
         whole = len(flat) // step * step
         for at in range(0, whole, step):
-            self._write(flat[at : at + step], np.ones(step, np.uint8))
-        self.rest, self.held = [flat[whole:].tobytes()], 4 * (len(flat) - whole)
+            self._write(flat[at : at + step], np.ones(step, bool))
+        self.rest, self.held = [flat[whole:].tobytes()], self.kind.itemsize * (len(flat) - whole)
 
     def _write(self, ids: np.ndarray, mask: np.ndarray) -> None:
         arrays = [pa.FixedSizeListArray.from_arrays(pa.array(x), type=f.type) for x, f in zip((ids, mask), self.schema, strict=True)]
         self.file.write_batch(pa.RecordBatch.from_arrays(arrays, schema=self.schema))
 
     def close(self) -> None:
-        flat = np.frombuffer(b"".join(self.rest), dtype="<u4")
+        flat = np.frombuffer(b"".join(self.rest), dtype=self.kind)
         padded = -(-len(flat) // self.length) * self.length
         if padded:
-            mask = np.zeros(padded, np.uint8)
-            mask[: len(flat)] = 1
-            self._write(np.concatenate([flat, np.zeros(padded - len(flat), "<u4")]), mask)
+            mask = np.zeros(padded, bool)
+            mask[: len(flat)] = True
+            self._write(np.concatenate([flat, np.zeros(padded - len(flat), self.kind)]), mask)
         self.file.close()
         self.out.close()
 
@@ -157,25 +164,25 @@ def write_token_files(
     ordered = docs.select(F.col(key).alias("place"), whole_text(text).alias("text"))
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     ordered = ordered.repartitionByRange(parts, F.col("place").asc_nulls_first()).sortWithinPartitions(F.col("place").asc_nulls_first())
-    last = np.array([end], dtype="<u4").tobytes()
 
     def write(batches):
         from pyspark import TaskContext
 
         encoder = encoder_of(tokenizer)
+        last = np.array([end], dtype=encoder.kind).tobytes()
         writer, index, out, n = None, None, None, 0
         for batch in batches:
             if not len(batch):
                 continue
             if writer is None:
                 tokens, beside = new_file(folder, ".arrow"), new_file(folder, ".index.arrow")
-                writer, out = _Writer(tokens, length), open_out(beside)
+                writer, out = _Writer(tokens, length, encoder.kind), open_out(beside)
                 index = pa.ipc.new_file(out, INDEX)
             starts, sizes = [], []
             for text_ in batch.column("text"):
                 ids = encoder.ids(text_.as_py()) + last
                 starts.append(writer.total)
-                sizes.append(len(ids) // 4)
+                sizes.append(len(ids) // encoder.kind.itemsize)
                 writer.add(ids)
             index.write_batch(pa.RecordBatch.from_arrays([batch.column("place").cast(pa.int64()), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64())], schema=INDEX))
             n += len(batch)
@@ -202,10 +209,11 @@ class TokenFile:
         self.starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
 
     def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of the i-th sequence, as views of the file."""
+        """Ids (a view of the file) and mask (unpacked from its bits) of the i-th sequence."""
         b = int(np.searchsorted(self.starts, i, side="right")) - 1
         batch, at = self.file.get_batch(b), i - int(self.starts[b])
-        return tuple(batch.column(c).values.to_numpy()[at * self.length : (at + 1) * self.length] for c in (0, 1))
+        ids, mask = (batch.column(c).values.slice(at * self.length, self.length) for c in (0, 1))
+        return ids.to_numpy(), mask.to_numpy(zero_copy_only=False)
 
     def ids(self, start: int, n: int) -> np.ndarray:
         """``n`` ids from the ``start``-th on; a view where they lie in one batch."""
@@ -217,7 +225,7 @@ class TokenFile:
             part = flat[at : at + n]
             found.append(part)
             start, n = start + len(part), n - len(part)
-        return found[0] if len(found) == 1 else np.concatenate(found or [np.empty(0, np.uint32)])
+        return found[0] if len(found) == 1 else np.concatenate(found or [np.empty(0, np.uint16)])
 
     def close(self) -> None:
         self.source.close()
@@ -235,7 +243,7 @@ def read_documents(files: DataFrame, key: str = "doc_id") -> DataFrame:
                     for i in range(index.num_record_batches):
                         part = index.get_batch(i)
                         starts, sizes = part.column("start").to_numpy(), part.column("n_tokens").to_numpy()
-                        sums = [zlib.crc32(np.ascontiguousarray(tokens.ids(int(s), int(n)), dtype="<u4")) for s, n in zip(starts, sizes, strict=True)]
+                        sums = [zlib.crc32(tokens.ids(int(s), int(n)).astype("<u4")) for s, n in zip(starts, sizes, strict=True)]
                         yield {key: part.column("place"), "start": starts + row["start"], "n_tokens": sizes, "ids_crc32": sums}
                 tokens.close()
 
