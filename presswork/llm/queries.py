@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presswork.llm import exact_dedup, language_id, minhash, mixing, sentencepiece_codec, token_files
+from presswork.llm import exact_dedup, language_id, minhash, mixing, sentencepiece_codec, token_files, toxicity
 from presswork.llm.shared import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,15 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document; learns where crc32(doc_id) mod 3 is not 1."""
+    docs = table(spark, folder, "documents")
+    model = toxicity.train(docs, table(spark, folder, "labels"), remainder("doc_id", 3) != 1)
+    held_out = (remainder("doc_id", 3) == 1).alias("held_out")
+    return toxicity.score(docs.select("doc_id", held_out, "text"), model).drop("text")
+
+
 @query()
 def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Predicted language of every document; learns where crc32(doc_id) mod 3 is not 1."""

@@ -1,6 +1,6 @@
 """Words of many texts at once: bounds and 64-bit keys from the UTF-8 bytes, in numpy.
 
-Words are runs of bytes other than the blank and 0x09-0x0D. A word's key is a polynomial in
+Words are runs of bytes other than the blank and 0x09-0x0D, if no other bytes are given. A word's key is a polynomial in
 its bytes modulo 2^64, taken from running sums, then scrambled. Two different words share a key
 with a chance of about 2^-64.
 """
@@ -14,6 +14,8 @@ from presswork.llm.shared import mix64, utf8
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+# letters, digits and all bytes of longer characters make words of prose; other ASCII parts them
+PUNCTUATED = np.array([b < 0x80 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 # a fixed random-looking number for each byte value
@@ -51,10 +53,10 @@ class Sums:
 class Words:
     """``start`` and ``end`` of each word in the bytes, ``rows``: bounds of each row in the words."""
 
-    def __init__(self, column: pa.Array, lower: bool = True):
+    def __init__(self, column: pa.Array, lower: bool = True, between: np.ndarray = _SPACE):
         flat, bounds = utf8(column)
         self.flat = _LOWER[flat] if lower else flat
-        inside = ~_SPACE[flat]
+        inside = ~between[flat]
         n = len(flat)
         begins = inside.copy()
         begins[1:] &= ~inside[:-1]
