@@ -35,7 +35,7 @@ def new_file(folder: str, suffix: str) -> str:
 def open_out(path: str):
     fs, place = filesystem(path)
     fs.create_dir(place.rsplit("/", 1)[0], recursive=True)
-    return fs.open_output_stream(place)
+    return fs.open_output_stream(place, compression=None)
 
 
 def open_in(path: str):

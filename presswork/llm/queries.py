@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presswork.llm import exact_dedup, language_id, minhash, mixing, sentencepiece_codec, token_files, toxicity
+from presswork.llm import exact_dedup, language_id, maxent_lm, minhash, mixing, sentencepiece_codec, token_files, toxicity, warc
 from presswork.llm.shared import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,6 +53,22 @@ def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, folder, "documents"))
 
 
+@query(
+    """WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+    d AS (SELECT page_id, octet_length(body)::BIGINT AS payload_bytes, sha256(body) AS payload_digest,
+      min(page_id) OVER (PARTITION BY sha256(body)) AS head FROM p)
+    SELECT page_id, payload_bytes, payload_digest,
+      CASE WHEN payload_bytes >= 100 AND head <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+      CASE WHEN payload_bytes >= 100 AND head <> page_id THEN head END AS refers_to
+    FROM d"""
+)
+def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages as WARC records, written and read back."""
+    archives = warc.write_archives(table(spark, folder, "pages"))
+    page, refers = F.col("page").cast("long").alias("page_id"), F.col("refers_to").cast("long").alias("refers_to")
+    return warc.read_archives(archives, with_payload=False).select(page, "payload_bytes", "payload_digest", "record_type", refers)
+
+
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 END = 1
 
@@ -89,6 +105,15 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixture(table(spark, folder, "documents"))
 
 
+@query()
+def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """Model and base log10 probability of every document; learns where crc32(doc_id) mod 7 is not 2."""
+    docs = table(spark, folder, "documents")
+    model, counts = maxent_lm.train(docs, remainder("doc_id", 7) != 2)
+    held_out = (remainder("doc_id", 7) == 2).alias("held_out")
+    return maxent_lm.score(docs.select("doc_id", held_out, "text"), model, counts)
+
+
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
