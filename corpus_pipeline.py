@@ -1,7 +1,7 @@
 """A corpus from raw documents to sampled token sequences, stage by stage.
 
 Each stage reads what the one before it wrote, works on all of it, and hands on the columns of
-documents; the last returns one row per mixed document with its token digest.
+documents; the last returns one row per mixed document with the digest of its pieces.
 """
 
 from __future__ import annotations
@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presswork.llm import exact_dedup, language_id, mixing
+from presswork.llm import exact_dedup, language_id, minhash, mixing, sentencepiece_codec
+from presswork.llm.queries import PIECES
 from presswork.llm.shared import remainder
 from presswork.plans.stage import staged
 
@@ -26,18 +27,31 @@ def drop_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return exact_dedup.drop_copies(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Of near-duplicates (shingles of five words, similarity 0.8), the one with the smallest doc_id goes on."""
+    return minhash.drop_near_duplicates(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents as often as the mix takes them: its second epoch repeats rows."""
     return mixing.mix(docs)
 
 
+def sample_pieces(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Number and checksum of each document's sampled pieces, and whether they decode to its text."""
+    pieces = sentencepiece_codec.round_trip(docs.select("doc_id", "lang", "source", "text"), PIECES)
+    return pieces.drop("text")
+
+
 STAGES = [
     ("language ID", keep_known_languages),
     ("exact dedup", drop_copies),
+    ("near dedup", drop_near_copies),
     ("mixing", mix_sources),
+    ("SentencePiece", sample_pieces),
 ]
 
-ORACLE_SQL = None  # language ID and the token sequences have no SQL form
+ORACLE_SQL = None  # language ID, near-duplicates and sampled pieces have no SQL form
 
 
 def run(spark: SparkSession, folder: str) -> DataFrame:

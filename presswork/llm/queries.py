@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presswork.llm import exact_dedup, language_id, maxent_lm, minhash, mixing, sentencepiece_codec, token_files, toxicity, warc
+from presswork.llm import exact_dedup, language_id, maxent_lm, minhash, mixing, neighbours, sentencepiece_codec, token_files, toxicity, warc
 from presswork.llm.shared import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,6 +80,12 @@ def op7_token_output(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_documents(files)
 
 
+@query()
+def op8_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The 10 nearest vectors found for every 100th vector."""
+    return neighbours.search(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @query(
     r"""WITH sized AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
       -ln((CAST('0x' || md5(CAST(doc_id AS VARCHAR))[1:13] AS BIGINT) + 0.5) / 4503599627370496.0)
