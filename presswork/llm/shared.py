@@ -85,7 +85,10 @@ def _array(values, kind: pa.DataType) -> pa.Array:
 
 def pieces(batch: pa.RecordBatch, name: str, limit: int = 4_000_000) -> Iterator[tuple[int, pa.Array]]:
     """Slices of a text column of about ``limit`` bytes each, as (first row, slice); a text is never cut."""
-    column = batch.column(name)
+    yield from slices(batch.column(name), limit)
+
+
+def slices(column: pa.Array, limit: int) -> Iterator[tuple[int, pa.Array]]:
     n = len(column)
     if not n:
         return
