@@ -7,6 +7,7 @@ def load() -> dict[str, Query]:
     from presswork.catalog import (  # noqa: F401
         cleaning,
         features,
+        invariants,
         models,
         scores,
         similarity,

@@ -207,14 +207,14 @@ def word_tokens_without_stop_words(spark, folder):
     "X17",
     f"""WITH tokens AS (SELECT doc_id, {sql.words('text')} AS t FROM documents),
     grams AS (SELECT doc_id, {sql.ngrams('t')} AS term FROM tokens)
-    SELECT doc_id, count(*) AS n_grams, count(DISTINCT term) AS n_distinct, min(term) AS first, max(term) AS last
-    FROM grams GROUP BY doc_id""",
+    SELECT doc_id, count(term) AS n_grams, count(DISTINCT term) AS n_distinct, min(term) AS first, max(term) AS last
+    FROM documents LEFT JOIN grams USING (doc_id) GROUP BY doc_id""",
 )
 def word_ngrams(spark, folder):
     grams = documents(spark, folder).select(
         "doc_id", tx.word_ngrams(tx.word_tokens(F.col("text"))).alias("g")
     )
-    return grams.where(F.size("g") > 0).select(
+    return grams.select(
         "doc_id",
         F.size("g").cast("bigint").alias("n_grams"),
         F.size(F.array_distinct("g")).cast("bigint").alias("n_distinct"),
@@ -227,12 +227,12 @@ def word_ngrams(spark, folder):
     "X18",
     f"""WITH chars AS (SELECT doc_id, {sql.characters('text')} AS c FROM documents),
     grams AS (SELECT doc_id, {sql.char_ngrams('c')} AS term FROM chars)
-    SELECT doc_id, count(*) AS n_grams, count(DISTINCT term) AS n_distinct, min(term) AS first, max(term) AS last
-    FROM grams GROUP BY doc_id""",
+    SELECT doc_id, count(term) AS n_grams, count(DISTINCT term) AS n_distinct, min(term) AS first, max(term) AS last
+    FROM documents LEFT JOIN grams USING (doc_id) GROUP BY doc_id""",
 )
 def char_ngrams(spark, folder):
     grams = documents(spark, folder).select("doc_id", tx.char_ngrams(F.col("text")).alias("g"))
-    return grams.where(F.size("g") > 0).select(
+    return grams.select(
         "doc_id",
         F.size("g").cast("bigint").alias("n_grams"),
         F.size(F.array_distinct("g")).cast("bigint").alias("n_distinct"),

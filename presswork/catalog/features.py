@@ -312,9 +312,9 @@ def _encoded(spark, folder):
 
 
 @query(
-    "X21 X22",
-    f"""WITH {IDS_SQL} SELECT doc_id, string_agg(word_id::VARCHAR, ' ' ORDER BY pos) AS word_ids
-    FROM seen JOIN ids USING (word) GROUP BY doc_id""",
+    "X21",
+    f"""WITH {IDS_SQL} SELECT doc_id, coalesce(string_agg(word_id::VARCHAR, ' ' ORDER BY pos), '') AS word_ids
+    FROM documents LEFT JOIN (SELECT * FROM seen JOIN ids USING (word)) USING (doc_id) GROUP BY doc_id""",
 )
 def encoded_documents(spark, folder):
     return _encoded(spark, folder).select(
@@ -333,7 +333,7 @@ PAIRS_SQL = f"""{IDS_SQL},
 
 
 @query(
-    "W5",
+    "W5 X22",
     f"""WITH {PAIRS_SQL}
     SELECT doc_id, CAST(pos AS INTEGER) AS pos, array_to_string(context, ' ') AS context, target FROM pairs""",
 )

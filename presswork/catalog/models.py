@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from presswork.catalog.features import FIT_SQL, TRAIN, WORDS, WORDS_SQL, bag, fitted
+from presswork.catalog.features import CHARS, FIT_SQL, TRAIN, WORDS, WORDS_SQL, bag, fitted
 from presswork.catalog.registry import CLASSES, corpus, documents, query, table
 from presswork.catalog.vectors import word_vectors
 from presswork.functions import text as tx
@@ -24,7 +24,6 @@ from presswork.operators import vectors as vc
 from presswork.plans import staged
 
 TEN = list(range(10))
-_built: dict[tuple[str, str], object] = {}
 
 
 def embeddings(spark, folder):
@@ -35,14 +34,10 @@ def embeddings(spark, folder):
 
 def document_vectors(spark, folder):
     """Staged (doc_id, category, split, vec, features, fold): mean word vectors of the corpus."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _built:
-        docs = corpus(spark, folder)
-        vectors = vc.doc_embeddings(docs, tx.wordpunct_tokens(F.col("text")), word_vectors(spark, folder))
-        rows = docs.select("doc_id", "category", "split").join(vectors, "doc_id")
-        rows = rows.withColumn("features", array_to_vector("vec"))
-        _built[key] = staged(sm.assign_folds(rows, 5), "vectors")
-    return _built[key]
+    docs = corpus(spark, folder)
+    vectors = vc.doc_embeddings(docs, tx.wordpunct_tokens(F.col("text")), word_vectors(spark, folder))
+    rows = docs.select("doc_id", "category", "split").join(vectors, "doc_id")
+    return staged(sm.assign_folds(rows.withColumn("features", array_to_vector("vec")), 5), "vectors")
 
 
 def _round(df, *names):
@@ -145,13 +140,15 @@ MULTI_SQL = f"""{WORDS_SQL}, {FIT_SQL},
 @query(
     "M5 M7",
     f"""WITH {MULTI_SQL},
-    margins AS (SELECT doc_id, category, class_id, sum(n * weight) AS m FROM bag JOIN weights USING (term) GROUP BY ALL)
-    SELECT doc_id, class_id, CAST(category = class_id + 1 AS INTEGER) AS y, round(1 / (1 + exp(-(m + bias))), 6) AS score,
-      CAST(m + bias > 0 AS INTEGER) AS pred FROM margins JOIN biases USING (class_id)""",
+    margins AS (SELECT doc_id, class_id, sum(n * weight) AS m FROM bag JOIN weights USING (term) GROUP BY ALL),
+    odds AS (SELECT doc_id, category, class_id, coalesce(m, 0) + bias AS z
+      FROM (SELECT doc_id, category, class_id, bias FROM corpus, biases) LEFT JOIN margins USING (doc_id, class_id))
+    SELECT doc_id, class_id, CAST(category = class_id + 1 AS INTEGER) AS y, round(1 / (1 + exp(-z)), 6) AS score,
+      CAST(z > 0 AS INTEGER) AS pred FROM odds""",
 )
 def multinomial_naive_bayes(spark, folder):
     cells, weights, biases = _multinomial(spark, folder)
-    return _round(nb.score_linear_terms(cells, weights, biases, CLASSES), "score")
+    return _round(nb.score_linear_terms(corpus(spark, folder), cells, weights, biases, CLASSES), "score")
 
 
 @query(
@@ -170,41 +167,43 @@ def top_weights(spark, folder):
     "I2",
     f"""WITH {MULTI_SQL}, parts AS (SELECT doc_id, class_id, term, n * weight AS contribution
       FROM bag JOIN weights USING (term)
-      UNION ALL SELECT d.doc_id, b.class_id, '<BIAS>', bias FROM (SELECT DISTINCT doc_id FROM bag) d, biases b)
+      UNION ALL SELECT d.doc_id, b.class_id, '<BIAS>', bias FROM corpus d, biases b)
     SELECT doc_id, class_id, term, round(contribution, 6) AS contribution,
       CAST(row_number() OVER (PARTITION BY doc_id, class_id ORDER BY round(abs(contribution), 9) DESC, term) AS INTEGER)
       AS rank FROM parts QUALIFY rank <= 10""",
 )
 def explain_linear(spark, folder):
     cells, weights, biases = _multinomial(spark, folder)
-    return _round(ex.explain_linear(cells, weights, biases, 10), "contribution")
+    return _round(ex.explain_linear(corpus(spark, folder), cells, weights, biases, 10), "contribution")
 
 
 SHAP_SQL = f"""{MULTI_SQL},
-    chosen AS (SELECT doc_id FROM (SELECT DISTINCT doc_id FROM bag) ORDER BY md5(concat('0:', doc_id)), doc_id LIMIT 20),
+    chosen AS (SELECT doc_id FROM corpus ORDER BY md5(concat('0:', doc_id)), doc_id LIMIT 20),
     means AS (SELECT term, sum(n) / 20.0::DOUBLE AS mean FROM bag WHERE doc_id IN (SELECT doc_id FROM chosen) GROUP BY term),
     mixed AS (SELECT w.*, coalesce(mean, 0) AS mean FROM weights w LEFT JOIN means USING (term)),
     bases AS (SELECT class_id, sum(weight * mean) AS shift, sum(weight * mean) + any_value(bias) AS base
       FROM mixed JOIN biases USING (class_id) GROUP BY class_id),
     met AS (SELECT doc_id, class_id, sum(weight * mean) AS met FROM bag JOIN mixed USING (term) GROUP BY ALL),
     phis AS (SELECT doc_id, class_id, term, weight * (n - mean) AS phi FROM bag JOIN mixed USING (term)
-      UNION ALL SELECT doc_id, class_id, '<ABSENT>', met - shift FROM met JOIN bases USING (class_id))"""
+      UNION ALL SELECT doc_id, class_id, '<ABSENT>', coalesce(met, 0) - shift
+      FROM (SELECT doc_id, class_id, shift FROM corpus, bases) LEFT JOIN met USING (doc_id, class_id))"""
 
 
 def _shapley(spark, folder):
     cells, weights, biases = _multinomial(spark, folder)
-    return cells, ex.LinearShapley(weights, biases, ex.background_means(cells, 20))
+    docs = corpus(spark, folder).select("doc_id")
+    return docs, cells, ex.LinearShapley(weights, biases, ex.background_means(docs, cells, 20))
 
 
 @query("I5 P11", f"WITH {SHAP_SQL} SELECT doc_id, class_id, term, round(phi, 6) + 0.0 AS phi FROM phis")
 def shapley_linear(spark, folder):
-    cells, model = _shapley(spark, folder)
-    return model.values(cells).withColumn("phi", F.round("phi", 6) + 0.0)
+    docs, cells, model = _shapley(spark, folder)
+    return model.values(docs, cells).withColumn("phi", F.round("phi", 6) + 0.0)
 
 
 @query(
     "I6",
-    f"""WITH {SHAP_SQL}, total AS (SELECT count(DISTINCT doc_id) AS n_docs FROM bag),
+    f"""WITH {SHAP_SQL}, total AS (SELECT count(*) AS n_docs FROM corpus),
     spread AS (SELECT term, sum(abs(n - mean)) AS present, count(*) AS df FROM bag
       JOIN (SELECT DISTINCT term, mean FROM mixed) USING (term) GROUP BY term),
     summary AS (SELECT class_id, term, round(abs(weight) * (present + ((SELECT n_docs FROM total) - df) * mean)
@@ -213,8 +212,8 @@ def shapley_linear(spark, folder):
       ORDER BY mean_abs DESC, term) AS INTEGER) AS rank FROM summary QUALIFY rank <= 20""",
 )
 def shapley_summary(spark, folder):
-    cells, model = _shapley(spark, folder)
-    return _round(model.mean_absolute(cells, 20), "mean_abs")
+    docs, cells, model = _shapley(spark, folder)
+    return _round(model.mean_absolute(docs, cells, 20), "mean_abs")
 
 
 @query(
@@ -228,8 +227,8 @@ def shapley_summary(spark, folder):
     FROM placed WHERE rank <= 16""",
 )
 def decision_path(spark, folder):
-    cells, model = _shapley(spark, folder)
-    return _round(model.decision_path(model.values(cells)), "phi", "margin")
+    docs, cells, model = _shapley(spark, folder)
+    return _round(model.decision_path(model.values(docs, cells)), "phi", "margin")
 
 
 @query(
@@ -240,8 +239,8 @@ def decision_path(spark, folder):
       round(1 / (1 + exp(-(base + up + down))), 6) AS probability FROM totals JOIN bases USING (class_id)""",
 )
 def force_rows(spark, folder):
-    cells, model = _shapley(spark, folder)
-    return _round(model.force_rows(model.values(cells)), "up", "down", "base_probability", "probability")
+    docs, cells, model = _shapley(spark, folder)
+    return _round(model.force_rows(model.values(docs, cells)), "up", "down", "base_probability", "probability")
 
 
 # ---- fitted models
@@ -257,17 +256,27 @@ def _fit_and_score(spark, folder, make):
     return model.predict(rows)
 
 
+def _packed(docs, train, tokens, value, sizes, percent, keep):
+    """Vectors of all ``docs`` over the best terms of a family chosen on ``train``, and the terms' places."""
+    column = tokens(F.col("text"))
+    known = tm.fit_vocabulary(train, column)
+    if value == "n":
+        cells = tm.count_vectorize(docs, column, known, ("split", "category"))
+    else:
+        cells = tm.tfidf(docs, column, known, sum(sizes.values()), ("split", "category"))
+    kept = staged(sel.select_features(cells, sizes, value, [percent]), "kept")
+    places = kept.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    places = staged(tm.number_vocabulary(places), "places")
+    return ct.pack_vectors(kept, places, places.count(), value, docs, keep), places
+
+
 @query("I1 M2 J7")
 def top_logistic_weights(spark, folder):
     """Strongest word n-grams of a logistic model on counts, per class, bias included."""
-    docs = corpus(spark, folder)
-    grams = tx.word_ngrams(tx.word_tokens(F.col("text")))
-    known = tm.fit_vocabulary(docs.where(TRAIN), grams)
-    counts = tm.count_vectorize(docs.where(TRAIN), grams, known, ("split", "category"))
-    kept = staged(sel.select_features(counts, sel.class_sizes(docs.where(TRAIN)), "n", [10]), "kept")
-    places = staged(tm.number_vocabulary(kept.select("term").distinct()), "places")
-    rows = ct.pack_vectors(kept, places, places.count(), "n", ("category",))
-    model = md.fit_binary_relevance(staged(rows, "packed"), md.logistic(sum(sel.class_sizes(docs).values())), CLASSES)
+    docs = corpus(spark, folder).where(TRAIN)
+    sizes = sel.class_sizes(docs)
+    rows, places = _packed(docs, docs, lambda t: tx.word_ngrams(tx.word_tokens(t)), "n", sizes, 10, ("category",))
+    model = md.fit_binary_relevance(rows, md.logistic(sum(sizes.values())), CLASSES)
     return ex.strongest(ex.name_positions(md.weight_table(spark, model), places), 10)
 
 
@@ -302,19 +311,16 @@ def one_vs_rest_confusion(spark, folder):
 
 @query("M8")
 def feature_sweep(spark, folder):
-    """One SVM per term feature family at the strictest percentile, plus document vectors."""
+    """One SVM per term family (counts and weights of words, word and character n-grams), plus document vectors."""
     docs = corpus(spark, folder)
-    sizes = sel.class_sizes(docs.where(TRAIN))
+    train = docs.where(TRAIN)
+    sizes = sel.class_sizes(train)
     families = {"vectors": document_vectors(spark, folder)}
-    for name, tokens in (("words", WORDS), ("ngrams", lambda t: tx.word_ngrams(tx.word_tokens(t)))):
-        known = tm.fit_vocabulary(docs.where(TRAIN), tokens(F.col("text")))
-        counts = tm.count_vectorize(docs, tokens(F.col("text")), known, ("split", "category"))
-        weights = tm.tfidf(docs, tokens(F.col("text")), known, sum(sizes.values()), ("split", "category"))
-        for kind, cells, value in (("count", counts, "n"), ("tfidf", weights, "tfidf")):
-            kept = staged(sel.select_features(cells, sizes, value, [10]), "kept")
-            places = staged(tm.number_vocabulary(kept.select("term").distinct()), "places")
-            families[f"{kind}-{name}"] = ct.pack_vectors(kept, places, places.count(), value, ("split", "category"))
-    return va.feature_sweep(families, va.estimator_fitter(lambda n: md.linear_svm(n, tol=1e-3, max_iter=20)), CLASSES)
+    grams = lambda t: tx.word_ngrams(tx.word_tokens(t))
+    for name, tokens in (("words", WORDS), ("ngrams", grams), ("chars", CHARS)):
+        for kind, value in (("count", "n"), ("tfidf", "tfidf")):
+            families[f"{kind}-{name}"] = _packed(docs, train, tokens, value, sizes, 10, ("split", "category"))[0]
+    return va.feature_sweep(families, va.estimator_fitter(lambda n: md.linear_svm(n, tol=1e-3)), CLASSES)
 
 
 @query("V1 N4")
@@ -323,11 +329,20 @@ def cross_validate(spark, folder):
     return va.cross_validate(document_vectors(spark, folder), va.standard_fitters(), CLASSES)
 
 
+def cross_validate_all(spark, folder):
+    """Base models and ensembles over five folds in one result table."""
+    bases = {"nb": va.gaussian_fitter(), "svm": va.estimator_fitter(md.linear_svm)}
+    fitters = va.standard_fitters() | {
+        "Stacking": en.stacking_fitter(bases),
+        "Bagging": en.bagging_fitter(10),
+        "AdaBoost": en.adaboost_fitter(50),
+    }
+    return va.cross_validate(document_vectors(spark, folder), fitters, CLASSES)
+
+
 @query("V3")
 def grid_search_logistic(spark, folder):
-    grid = va.logistic_grid([1e-4, 1e-2, 1.0, 100.0])
-    make = lambda n, **setting: md.logistic(n, max_iter=20, **setting)
-    return va.grid_search(document_vectors(spark, folder), grid, make, CLASSES, train_scores=True)
+    return va.grid_search(document_vectors(spark, folder), va.logistic_grid(), md.logistic, CLASSES, train_scores=True)
 
 
 @query("V4")
@@ -383,12 +398,18 @@ def _logistic(spark, folder):
 def explain_local(spark, folder):
     """Local surrogates of the logistic model for every document."""
     rows, coefficients, biases = _logistic(spark, folder)
-    return ex.explain_local(rows, coefficients, biases, ex.quartile_bins(rows.where(TRAIN)), samples=1000)
+    return ex.explain_local(rows, coefficients, biases, ex.quartile_bins(rows.where(TRAIN)))
 
 
-@query("I5 I6")
-def shapley_sampled(spark, folder):
+@query("I5")
+def shapley_rows(spark, folder):
+    """Sampled Shapley values of every document, class and position."""
     rows, coefficients, biases = _logistic(spark, folder)
     background = sm.sample_n(rows.select("doc_id", "vec"), 20, seed=0)
-    values = ex.shapley_sampled(rows, background, coefficients, biases)
+    return ex.shapley_sampled(rows, background, coefficients, biases)
+
+
+@query("I5 I6")
+def shapley_sampled(spark, folder):
+    values = shapley_rows(spark, folder)
     return values.groupBy("class_id", "position", "base").agg(F.avg(F.abs("phi")).alias("mean_abs"))

@@ -15,7 +15,7 @@ from presswork.operators import sampling as sm
 from presswork.operators import tables as tb
 from presswork.sources import tables as src
 
-ALGOS = ["Logistic Regression", "Gaussian Naive Bayes"]
+ALGOS = ["hash scores A", "hash scores B"]
 
 
 def scored(spark, folder, algo=ALGOS[0]):

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from presswork.catalog import fragments as sql
 from presswork.catalog.registry import corpus, documents, query, table
+from presswork.catalog.tables import _path
 from presswork.functions import text as tx
 from presswork.operators import vectors as vc
 from presswork.plans import staged
+from presswork.sources import tables as src
 
 
 def word_vectors(spark, folder):
@@ -66,7 +68,7 @@ def similar_words(spark, folder):
 
 
 @query(
-    "F13 J2",
+    "F13",
     """WITH parts AS (SELECT label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) - 1 AS pos
       FROM embeddings)
     SELECT label AS cluster, count(*) AS size, CAST(pos AS INTEGER) AS pos, round(avg(x), 6) + 0.0 AS value
@@ -82,5 +84,7 @@ def cluster_centers(spark, folder):
 def train_word2vec(spark, folder):
     """Word vectors trained on the cleaned corpus, saved and read back."""
     docs = corpus(spark, folder).select("doc_id", tx.clean_text(F.col("text")).alias("cleaned"))
-    vectors = vc.train_word2vec(docs, tx.wordpunct_tokens(F.col("cleaned")), size=50, window=5, iterations=1)
-    return vc.long_vectors(vectors, "word", "vector")
+    vectors = vc.train_word2vec(docs, tx.wordpunct_tokens(F.col("cleaned")), size=100, window=20)
+    path = _path(spark, "word-vectors")
+    src.save_vectors(vectors, path)
+    return vc.long_vectors(src.load_vectors(spark, path), "word", "vector")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from presswork.functions.numbers import ratio, round_even
-from presswork.plans import running_sums
+from presswork.plans import running_sums, staged
 
 
 def outcome_counts(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -83,19 +83,25 @@ def long_metrics(metrics: DataFrame, keys: Sequence[str], names: Sequence[str])
     return metrics.select(*keys, F.inline(pairs))
 
 
-def _curve_steps(scored: DataFrame, by: str | None) -> DataFrame:
+def tally(scored: DataFrame) -> DataFrame:
+    """Staged (class_id, score, pred, hits, cases): all that curves and counts need, in one pass."""
+    grouped = scored.groupBy("class_id", "score", "pred")
+    return staged(grouped.agg(F.sum("y").alias("hits"), F.count(F.lit(1)).alias("cases")), "tally")
+
+
+def _curve_steps(tallied: DataFrame, by: str | None) -> DataFrame:
     """Cumulative true positives and cases per distinct score, highest first.
 
     Equal scores are merged before the ordered pass, which itself runs per
     range partition with offsets, so no class ends up in a single task.
     """
     keys = [by] if by else []
-    steps = scored.groupBy(*keys, "score").agg(F.sum("y").alias("hits"), F.count(F.lit(1)).alias("cases"))
-    return running_sums(steps, [F.desc("score")], {"tp": "hits", "seen": "cases"}, by=by)
+    steps = tallied.groupBy(*keys, "score").agg(F.sum("hits").alias("hits"), F.sum("cases").alias("cases"))
+    return _with_positives(running_sums(steps, [F.desc("score")], {"tp": "hits", "seen": "cases"}, by=by), tallied, by)
 
 
-def _with_positives(steps: DataFrame, scored: DataFrame, by: str | None) -> DataFrame:
-    positives = scored.groupBy(*([by] if by else [])).agg(F.sum("y").alias("positives"))
+def _with_positives(steps: DataFrame, tallied: DataFrame, by: str | None) -> DataFrame:
+    positives = tallied.groupBy(*([by] if by else [])).agg(F.sum("hits").alias("positives"))
     if by:
         return steps.join(F.broadcast(positives), by)  # one row per class
     return steps.withColumn("positives", positives.scalar())
@@ -103,7 +109,7 @@ def _with_positives(steps: DataFrame, scored: DataFrame, by: str | None) -> Data
 
 def pr_curve(scored: DataFrame, by: str | None = "class_id") -> DataFrame:
     """Precision and recall at every threshold until recall is full."""
-    steps = _with_positives(_curve_steps(scored, by), scored, by)
+    steps = _curve_steps(tally(scored), by)
     kept = steps.where(F.col("tp") - F.col("hits") < F.col("positives"))
     keys = [by] if by else []
     return kept.select(
@@ -116,7 +122,11 @@ def pr_curve(scored: DataFrame, by: str | None = "class_id") -> DataFrame:
 
 def average_precision(scored: DataFrame, by: str | None = "class_id") -> DataFrame:
     """Sum of precision times recall step; equal scores are one step."""
-    steps = _with_positives(_curve_steps(scored, by), scored, by)
+    return _areas(tally(scored), by)
+
+
+def _areas(tallied: DataFrame, by: str | None) -> DataFrame:
+    steps = _curve_steps(tallied, by)
     area = F.sum(ratio(F.col("hits"), F.col("positives")) * ratio(F.col("tp"), F.col("seen")))
     return steps.groupBy(*([by] if by else [])).agg(area.alias("average_precision"))
 
@@ -126,10 +136,15 @@ def score_sheet(scored: DataFrame, algo: str) -> DataFrame:
 
     The micro value of MCC is the mean over the classes.
     """
-    per_class = outcome_counts(scored, ["class_id"]).select(
+    tallied = tally(scored)
+    # a tallied row is a number of cases with the same prediction
+    yes, hits, misses = F.col("pred") == 1, F.col("hits"), F.col("cases") - F.col("hits")
+    cells = {"tp": F.when(yes, hits), "fp": F.when(yes, misses), "fn": F.when(~yes, hits), "tn": F.when(~yes, misses)}
+    sums = [F.coalesce(F.sum(cell), F.lit(0)).cast("double").alias(name) for name, cell in cells.items()]
+    per_class = tallied.groupBy("class_id").agg(*sums).select(
         F.col("class_id").cast("string").alias("class_id"), f1().alias("f1"), mcc().alias("mcc")
     )
-    counts = outcome_counts(scored).select(f1().alias("f1"))
+    counts = tallied.agg(*sums).select(f1().alias("f1"))
     micro = counts.select(
         F.lit("micro").alias("class_id"), "f1", per_class.agg(F.avg("mcc")).scalar().alias("mcc")
     )
@@ -138,10 +153,10 @@ def score_sheet(scored: DataFrame, algo: str) -> DataFrame:
         F.struct(F.lit("MCC").alias("metric"), F.col("mcc").alias("value")),
     )
     hard = per_class.unionByName(micro).select("class_id", F.inline(pairs))
-    areas = average_precision(scored).select(
+    areas = _areas(tallied, "class_id").select(
         F.col("class_id").cast("string").alias("class_id"), F.col("average_precision").alias("value")
     )
-    total = average_precision(scored, by=None).select(
+    total = _areas(tallied, None).select(
         F.lit("micro").alias("class_id"), F.col("average_precision").alias("value")
     )
     curves = areas.unionByName(total).withColumn("metric", F.lit("P-R"))

@@ -21,7 +21,7 @@ PARALLEL_FITS = 8
 
 
 def linear_svm(n: int, c: float = 1.0, tol: float = 1e-4, max_iter: int = 100) -> LinearSVC:
-    """C weighs the summed loss, hence regParam = 1 / (C n)."""
+    """C weighs the summed loss, hence regParam = 1 / (C n); stops at ``tol`` or ``max_iter``."""
     return LinearSVC(regParam=1.0 / (c * n), tol=tol, maxIter=max_iter, standardization=False)
 
 
@@ -56,14 +56,27 @@ class BinaryRelevance:
     classes: list
 
     def predict(
-        self, df: DataFrame, key: str = "doc_id", category: str = "category", keep: Sequence[str] = ()
+        self,
+        df: DataFrame,
+        key: str = "doc_id",
+        category: str = "category",
+        keep: Sequence[str] = (),
+        features: Sequence[str] | None = None,
     ) -> DataFrame:
-        """Long (key, keep..., class_id, y, score, pred); all models score in one pass."""
-        scored = df.select(key, category, "features", *keep)
+        """Long (key, keep..., class_id, y, score, pred); all models score in one pass.
+
+        ``features`` names the vector column of each model, where they differ.
+        """
+        columns = list(features or ["features"] * len(self.models))
+        scored = df.select(key, category, *dict.fromkeys(columns), *keep)
         entries = []
         for i, (c, model) in enumerate(zip(self.classes, self.models)):
             has_probability = model.hasParam("probabilityCol")
-            params = {model.rawPredictionCol: f"_raw{i}", model.predictionCol: f"_pred{i}"}
+            params = {
+                model.featuresCol: columns[i],
+                model.rawPredictionCol: f"_raw{i}",
+                model.predictionCol: f"_pred{i}",
+            }
             if has_probability:
                 params[model.probabilityCol] = f"_prob{i}"
             scored = model.transform(scored, params)

@@ -88,7 +88,7 @@ def term_totals(docs: DataFrame, tokens: Column, vocabulary: DataFrame | None =
     totals = exploded.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     if vocabulary is None:
         return totals
-    return lookup_join(totals, vocabulary.select("term"), "term", "left_semi")
+    return totals.join(vocabulary.select("term"), "term", "left_semi")  # one row per term on either side
 
 
 def tfidf_totals(weights: DataFrame) -> DataFrame:
@@ -119,11 +119,16 @@ def build_word_ids(docs: DataFrame, tokens: Column) -> DataFrame:
 
 
 def encode_words(docs: DataFrame, tokens: Column, word_ids: DataFrame) -> DataFrame:
-    """(doc_id, word_ids) with the ids in text order; words without an id are skipped."""
+    """(doc_id, word_ids) with the ids in text order; words without an id are skipped.
+
+    A document without a numbered word has an empty list.
+    """
     words = docs.select("doc_id", F.posexplode(tokens).alias("pos", "word"))
     numbered = lookup_join(words, word_ids, "word", weight="n").select("doc_id", "pos", "word_id")
     placed = F.array_sort(F.collect_list(F.struct("pos", "word_id")))
-    return numbered.groupBy("doc_id").agg(F.transform(placed, lambda p: p["word_id"]).alias("word_ids"))
+    lists = numbered.groupBy("doc_id").agg(F.transform(placed, lambda p: p["word_id"]).alias("word_ids"))
+    every = docs.select("doc_id").join(lists, "doc_id", "left")
+    return every.select("doc_id", F.coalesce("word_ids", F.array().cast("array<bigint>")).alias("word_ids"))
 
 
 def context_pairs(encoded: DataFrame, window: int = 2) -> DataFrame:

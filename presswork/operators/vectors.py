@@ -59,7 +59,11 @@ def doc_embeddings(docs: DataFrame, tokens: Column, vectors: DataFrame) -> DataF
     words = placed.select("doc_id", F.explode(tokens).alias("word"))
     counted = words.groupBy("doc_id", "word").agg(F.count(F.lit(1)).cast("double").alias("n"))
     rows = max(1, VECTOR_BYTES // (8 * max(size, 1)))
-    found = lookup_join(counted, vectors, "word", broadcast_rows=rows)
+    if "df" not in vectors.columns and vectors.count() > rows:
+        # how many documents hold a word, so that the words of most documents are split
+        vectors = staged(vectors.join(counted.groupBy("word").agg(F.count(F.lit(1)).alias("df")), "word"), "weighed")
+    weight = "df" if "df" in vectors.columns else vectors.columns[0]  # only a broadcast needs none
+    found = lookup_join(counted, vectors, "word", weight=weight, broadcast_rows=rows)
     mean = Summarizer.mean(array_to_vector(F.col("vector").cast("array<double>")), F.col("n"))
     means = found.groupBy("doc_id").agg(mean.alias("mean")).select("doc_id", vector_to_array("mean").alias("mean"))
     zeros = F.array_repeat(F.lit(0.0), size)

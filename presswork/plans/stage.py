@@ -10,6 +10,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _local_folders: list[tempfile.TemporaryDirectory] = []
 
@@ -31,12 +32,12 @@ def stage_folder(spark: SparkSession) -> str:
     return f"{checkpoint_root(spark)}/presswork-{spark.sparkContext.applicationId}"
 
 
-def staged(df: DataFrame, label: str = "stage") -> DataFrame:
-    """Write ``df`` once and return the written table."""
+def staged(df: DataFrame, label: str = "stage", schema: StructType | None = None) -> DataFrame:
+    """Write ``df`` once and return the written table, read with ``schema`` if given."""
     spark = df.sparkSession
     path = f"{stage_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(schema or df.schema).parquet(path)
 
 
 def clear(spark: SparkSession) -> None:

@@ -131,18 +131,15 @@ def test_local_surrogate_finds_the_driving_position(rows, logistic_parts):
 
 def test_linear_shapley_is_exact(spark):
     cells = spark.createDataFrame([(1, "a", 2), (1, "b", 1), (2, "b", 3), (3, "c", 1)], "doc_id bigint, term string, n bigint")
+    docs_ = spark.createDataFrame([(1,), (2,), (3,), (4,)], "doc_id bigint")
     weights = spark.createDataFrame([("a", 1.0, -1.0, 2), ("b", 0.5, 0.5, 4), ("c", -2.0, 1.0, 1)], "term string, w0 double, w1 double, total bigint")
-    model = ex.LinearShapley(weights, [0.1, -0.2], ex.background_means(cells, 2, seed=0))
-    rows = model.force_rows(model.values(cells)).collect()
+    model = ex.LinearShapley(weights, [0.1, -0.2], ex.background_means(docs_, cells, 2, seed=0))
+    rows = model.force_rows(model.values(docs_, cells)).collect()
     w = {"a": (1.0, -1.0), "b": (0.5, 0.5), "c": (-2.0, 1.0)}
-    docs = {1: {"a": 2, "b": 1}, 2: {"b": 3}, 3: {"c": 1}}
+    docs = {1: {"a": 2, "b": 1}, 2: {"b": 3}, 3: {"c": 1}, 4: {}}
+    assert len(rows) == 8
     for r in rows:
         margin = (0.1, -0.2)[r.class_id] + sum(n * w[t][r.class_id] for t, n in docs[r.doc_id].items())
         assert r.probability == pytest.approx(1 / (1 + np.exp(-margin)))
 
 
-def test_registry_covers_only_whole_tables():
-    from presswork.catalog import load
-
-    assert len(load()) > 100
-    assert registry.CATALOG is load()

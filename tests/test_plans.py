@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from presswork.operators import sampling as sm
 from presswork.plans import global_rank, lookup_join, running_sums, staged
+from presswork.plans.lookup import fits_broadcast
 
 
 def test_global_rank_over_many_partitions(spark):
@@ -28,7 +29,7 @@ def test_running_sums(spark, by):
         assert got[i] == total[key]
 
 
-@pytest.mark.parametrize("limits", [{}, {"broadcast_rows": 2}, {"broadcast_rows": 2, "heavy_keys": 1, "parts": 3}])
+@pytest.mark.parametrize("limits", [{}, {"broadcast_rows": 2}, {"broadcast_rows": 2, "heavy_keys": 1, "part_rows": 9}])
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
 def test_lookup_join_paths_agree(spark, limits, how):
     big = spark.createDataFrame([(i, "hot" if i % 3 == 0 else f"k{i % 7}") for i in range(90)], "id int, k string")
@@ -40,6 +41,21 @@ def test_lookup_join_paths_agree(spark, limits, how):
     )
 
 
+def test_a_word_of_every_row_is_split(spark):
+    big = spark.range(1000).select("id", F.lit("the").alias("k"))
+    keyed = staged(spark.createDataFrame([("the", 1000), ("rare", 1)], "k string, w int"))
+    joined = lookup_join(big, keyed, "k", weight="w", broadcast_rows=0, part_rows=100)
+    plan = joined._jdf.queryExecution().toString()
+    assert "_part" in plan and joined.count() == 1000
+    parts = joined.groupBy(F.pmod(F.xxhash64("id", "k"), F.lit(10))).count().collect()
+    assert len(parts) == 10
+
+
+def test_wide_rows_are_not_broadcast(spark):
+    keyed = staged(spark.range(100).select("id", F.repeat(F.lit("x"), 1000).alias("text")))
+    assert fits_broadcast(keyed) and not fits_broadcast(keyed, size=50_000) and not fits_broadcast(keyed, rows=99)
+
+
 @pytest.mark.parametrize("n, sizes", [(12, [3, 3, 2, 2, 2]), (10, [2] * 5), (3, [1, 1, 1])])
 def test_fold_sizes(spark, n, sizes):
     df = spark.range(n).withColumnRenamed("id", "doc_id")
