@@ -26,9 +26,9 @@ from presswork.llm.words import Sums
 
 BLANK = 0x2581  # the vocabulary's stand-in for a blank
 LITERAL = 0x110000  # a stand-in that occurs in a text itself
-KEPT_CHARACTERS = 1_000_000
+KEPT_CHARACTERS = 600_000
 # bytes of text that are encoded together
-TOGETHER = 1_000_000
+TOGETHER = 500_000
 SHARPNESS = 1.0
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 

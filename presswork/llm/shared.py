@@ -83,7 +83,7 @@ def _array(values, kind: pa.DataType) -> pa.Array:
     return pa.array(values, type=kind)
 
 
-def pieces(batch: pa.RecordBatch, name: str, limit: int = 4_000_000) -> Iterator[tuple[int, pa.Array]]:
+def pieces(batch: pa.RecordBatch, name: str, limit: int = 1_000_000) -> Iterator[tuple[int, pa.Array]]:
     """Slices of a text column of about ``limit`` bytes each, as (first row, slice); a text is never cut."""
     yield from slices(batch.column(name), limit)
 
