@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from presswork.llm.shared import BROADCAST_ROWS, names_of, whole_text
+from presswork.llm.shared import BROADCAST_ROWS, kept_rows, names_of, whole_text
 from presswork.plans.lookup import lookup_join
 from presswork.plans.stage import staged
 
@@ -73,10 +73,9 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", hashe
 def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each group of equal texts, that with the largest key; columns as given.
 
-    Keys must be unique: where they are not, rows that share a kept key all stay.
+    Keys may repeat or be null: a null key is smaller than any other, and of rows with the same key
+    and text one stays.
     """
-    groups = exact_groups(docs, key, text)
-    gone = staged(groups.where(~F.col("kept")).select(F.col(key)), "copies")
-    if gone.count() <= BROADCAST_ROWS:
-        gone = F.broadcast(gone)
-    return docs.join(gone, key, "left_anti")
+    groups = exact_groups(docs, key, text).where("group_size > 1")
+    decided = groups.select(F.col(key).alias("key"), F.col("text_sha256").alias("print"), "kept")
+    return kept_rows(docs, decided, key, F.sha2(whole_text(text).cast("binary"), 256))

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from presswork.plans.stage import staged
+
 # lookups of at most so many narrow rows are broadcast; larger ones are salted shuffle joins
 BROADCAST_ROWS = 100_000
 
@@ -23,6 +25,31 @@ def whole_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def kept_rows(docs: DataFrame, decided: DataFrame, key: str, told: Column) -> DataFrame:
+    """``docs`` without the rows that ``decided`` drops; columns as given.
+
+    ``decided`` has one row (key, print, kept) for each row of a group, ``told`` makes the print of
+    a row of ``docs``. A row is known by key and print, where a null key equals a null key. Of rows
+    that agree in both and of which one is kept, one stays.
+    """
+    pairs = decided.groupBy("key", "print").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    pairs = staged(pairs.where("n > 1 or not kept"), "decided")
+    rows = docs.select(F.struct("*").alias("row"), F.col(key).alias("key"), told.alias("print"))
+
+    def matched(some: DataFrame, how: str) -> DataFrame:
+        other = some.select(F.col("key").alias("k"), F.col("print").alias("p"))
+        if some.count() <= BROADCAST_ROWS:
+            other = F.broadcast(other)
+        return rows.join(other, F.col("key").eqNullSafe(F.col("k")) & (F.col("print") == F.col("p")), how)
+
+    left = matched(pairs, "left_anti").select("row.*")
+    repeated = pairs.where("kept")
+    if repeated.isEmpty():
+        return left
+    one = matched(repeated, "left_semi").groupBy("key", "print").agg(F.first("row").alias("row"))
+    return left.unionByName(one.select("row.*"))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

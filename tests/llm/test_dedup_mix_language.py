@@ -49,6 +49,16 @@ def test_exact_groups_whatever_the_hash(spark, hashed):
     assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == [2, 4, 5, 7]
 
 
+def test_one_row_of_each_text_stays(spark):
+    again = [(8, "x y", "en", "c", "other source"), (8, "another text", "en", "c", None), (None, "only null", "en", "a", None), (None, "only null", "en", "a", None)]
+    docs = spark.createDataFrame([*ROWS, *again, (2, "x y", "en", "b", None)], SCHEMA)
+    left = exact_dedup.drop_copies(docs)
+    got = left.collect()
+    assert left.columns == docs.columns and {tuple(r) for r in got} <= {tuple(r) for r in docs.collect()}
+    keys = {"same": 2, "": 4, "Same": 5, LONG: 7, "x y": 8, "123 !!": 9, "another text": 8, "only null": None}
+    assert sorted((r.text or "", str(r.doc_id)) for r in got) == sorted((t, str(k)) for t, k in keys.items())
+
+
 def test_mixture_on_odd_rows(spark):
     docs = spark.createDataFrame(ROWS, SCHEMA)
     got = mixing.mixture(docs).collect()
