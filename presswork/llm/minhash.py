@@ -23,11 +23,11 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from presswork.llm.components import components
-from presswork.llm.shared import BROADCAST_ROWS, add_columns, mix64, names_of, pieces, whole_text
+from presswork.llm.shared import BROADCAST_ROWS, add_columns, kept_rows, mix64, names_of, pieces, whole_text
 from presswork.llm.words import Sums, Words
 from presswork.plans.lookup import lookup_join
 from presswork.plans.stage import staged
@@ -224,9 +224,19 @@ def near_duplicates(
     Rows with the same text are in the same class; of rows repeated in full one is kept.
     Null keys sort last. An empty table gives no rows; other columns are ignored.
     """
+    named = _classes(docs, key, text, similarity, size, bands, rows)
+    return named.select(F.col("id").alias(key), "class_id", "class_size", "n_shingles", "kept")
+
+
+def _print(text: Column) -> Column:
+    return F.unhex(F.md5(text.cast("binary")))
+
+
+def _classes(docs: DataFrame, key: str, text: str, similarity: float, size: int, bands: int, rows: int) -> DataFrame:
+    """id, print, class_id, class_size, n_shingles, kept."""
     names_of(docs, [key, text])
     source = docs.select(F.col(key).alias("id"), whole_text(text).alias("text"))
-    printed = source.withColumn("print", F.unhex(F.md5(F.col("text").cast("binary"))))
+    printed = source.withColumn("print", _print(F.col("text")))
     prints = with_bands(printed, "text", size, bands, rows).drop("text")
     prints = staged(prints.withColumn("row", F.monotonically_increasing_id()), "prints")
 
@@ -296,7 +306,8 @@ def near_duplicates(
     named = lookup_join(prints, grouped, "print", "left", weight="copies", broadcast_rows=BROADCAST_ROWS)
     single = F.col("class_size").isNull() | (F.col("n_shingles") == 0)
     return named.select(
-        F.col("id").alias(key),
+        "id",
+        "print",
         F.when(single, F.col("id")).otherwise(F.col("head.id")).alias("class_id"),
         F.when(single, 1).otherwise(F.col("class_size")).cast("long").alias("class_size"),
         "n_shingles",
@@ -304,13 +315,20 @@ def near_duplicates(
     )
 
 
-def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+def drop_near_duplicates(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    similarity: float = SIMILARITY,
+    size: int = SHINGLE,
+    bands: int = BANDS,
+    rows: int = ROWS,
+) -> DataFrame:
     """``docs`` with one document of each class, that with the smallest key; columns as given.
 
-    Keys must be unique: where they are not, rows that share a dropped key leave together.
+    Keys may repeat or be null: null keys sort last, and of rows with the same key and text one
+    stays, except texts without a word, which all stay.
     """
-    classes = near_duplicates(docs, key, text, **options)
-    gone = staged(classes.where(~F.col("kept")).select(F.col(key)), "duplicates")
-    if gone.count() <= BROADCAST_ROWS:
-        gone = F.broadcast(gone)
-    return docs.join(gone, key, "left_anti")
+    classes = _classes(docs, key, text, similarity, size, bands, rows).where("class_size > 1")
+    decided = classes.select(F.col("id").alias("key"), "print", "kept")
+    return kept_rows(docs, decided, key, _print(whole_text(text)))

@@ -112,6 +112,22 @@ def test_defined_results_for_odd_rows(spark):
     assert minhash.near_duplicates(docs.where("false")).count() == 0
 
 
+def test_one_row_of_each_class_stays(spark):
+    base = " ".join(f"w{i}" for i in range(100))
+    rows = [
+        (1, "a b c d e f", "x"), (1, "a b c d e f", "y"), (2, base, "x"), (2, base + " end", "x"), (3, base, "x"), (None, base, "x"),
+        (3, "kept beside a dropped one", "x"), (None, "g h i j k l", "x"), (None, "g h i j k l", "x"), (4, None, "x"), (4, "", "x"), (4, "", "x"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, print string")
+    left = minhash.drop_near_duplicates(docs)
+    got = [tuple(r) for r in left.collect()]
+    assert left.columns == docs.columns and set(got) <= set(rows)
+    heads = [r for r in got if (r[1] or "").startswith("w0 ")]
+    assert len(heads) == 1 and heads[0][0] == 2
+    others = sorted(((r[1] or "", str(r[0])) for r in got if r not in heads))
+    assert others == sorted([("a b c d e f", "1"), ("kept beside a dropped one", "3"), ("g h i j k l", "None"), *[("", "4")] * 3])
+
+
 def test_components_of_a_long_chain(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 105), (105, 103)]
     got = {r.node: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
