@@ -347,15 +347,12 @@ def grid_search_logistic(spark, folder):
 
 @query("V4")
 def grid_search_svm(spark, folder):
-    grid = va.svm_grid([1e-3, 1e-1, 10.0], [1e-6, 1e-2])
-    make = lambda n, **setting: md.linear_svm(n, max_iter=20, **setting)
-    return va.grid_search(document_vectors(spark, folder), grid, make, CLASSES)
+    return va.grid_search(document_vectors(spark, folder), va.svm_grid(), md.linear_svm, CLASSES)
 
 
 @query("V5")
 def grid_search_tree(spark, folder):
-    grid = va.tree_grid([1, 10], [5, 30])
-    return va.grid_search(document_vectors(spark, folder), grid, md.decision_tree, CLASSES)
+    return va.grid_search(document_vectors(spark, folder), va.tree_grid(), md.decision_tree, CLASSES)
 
 
 @query("E12 W9")
