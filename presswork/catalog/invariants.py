@@ -135,15 +135,27 @@ def learning_curve_keys(spark, folder):
     return rows.select("percent", (F.col("train_error").between(0, 1) & F.col("test_error").between(0, 1)).alias("bounded"))
 
 
+def _sweep_keys(rows):
+    bounded = F.col("average_precision").between(0, 1 + 1e-9) & F.col("f1").between(0, 1)
+    return rows.select("family", "class_id", bounded.alias("bounded"))
+
+
 @query(
     "M8",
     f"""SELECT family, CAST(c - 1 AS INTEGER) AS class_id, true AS bounded FROM {KINDS},
     (SELECT unnest(['vectors', 'count-words', 'tfidf-words', 'count-ngrams', 'tfidf-ngrams', 'count-chars', 'tfidf-chars']) AS family)""",
 )
 def feature_sweep_keys(spark, folder):
-    rows = cm.feature_sweep(spark, folder)
-    bounded = F.col("average_precision").between(0, 1 + 1e-9) & F.col("f1").between(0, 1)
-    return rows.select("family", "class_id", bounded.alias("bounded"))
+    return _sweep_keys(cm.sweep(cm.whole_families(spark, folder)))
+
+
+@query(
+    "M8",
+    f"""SELECT family || '-' || p AS family, CAST(c - 1 AS INTEGER) AS class_id, true AS bounded FROM {KINDS},
+    (SELECT unnest(['count-words', 'count-ngrams', 'count-chars']) AS family), (SELECT unnest([10, 25, 50, 75]) AS p)""",
+)
+def feature_sweep_percentile_keys(spark, folder):
+    return _sweep_keys(cm.sweep(cm.selected_families(spark, folder)))
 
 
 # ---- clusters, topics, projections, vectors

@@ -256,18 +256,26 @@ def _fit_and_score(spark, folder, make):
     return model.predict(rows)
 
 
-def _packed(docs, train, tokens, value, sizes, percent, keep):
-    """Vectors of all ``docs`` over the best terms of a family chosen on ``train``, and the terms' places."""
+def _cells(docs, train, tokens, value, sizes):
+    """Counts or weights in all ``docs`` of a family's terms known from ``train``."""
     column = tokens(F.col("text"))
     known = tm.fit_vocabulary(train, column)
     if value == "n":
-        cells = tm.count_vectorize(docs, column, known, ("split", "category"))
-    else:
-        cells = tm.tfidf(docs, column, known, sum(sizes.values()), ("split", "category"))
-    kept = staged(sel.select_features(cells, sizes, value, [percent]), "kept")
-    places = kept.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+        return tm.count_vectorize(docs, column, known, ("split", "category"))
+    return tm.tfidf(docs, column, known, sum(sizes.values()), ("split", "category"))
+
+
+def _pack(cells, value, docs, keep):
+    """Vectors of all ``docs`` over the terms of ``cells``, and the terms' places."""
+    places = cells.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     places = staged(tm.number_vocabulary(places), "places")
-    return ct.pack_vectors(kept, places, places.count(), value, docs, keep), places
+    return ct.pack_vectors(cells, places, places.count(), value, docs, keep), places
+
+
+def _packed(docs, train, tokens, value, sizes, percent, keep):
+    """Vectors of all ``docs`` over the best terms of a family chosen on ``train``, and the terms' places."""
+    kept = sel.select_features(_cells(docs, train, tokens, value, sizes), sizes, value, [percent])
+    return _pack(staged(kept, "kept"), value, docs, keep)
 
 
 @query("I1 M2 J7")
@@ -309,18 +317,45 @@ def one_vs_rest_confusion(spark, folder):
     return tb.append_results(*tables)
 
 
-@query("M8")
-def feature_sweep(spark, folder):
-    """One SVM per term family (counts and weights of words, word and character n-grams), plus document vectors."""
+SWEPT = {"words": WORDS, "ngrams": lambda t: tx.word_ngrams(tx.word_tokens(t)), "chars": CHARS}
+PERCENTS = (10, 25, 50, 75)
+
+
+def whole_families(spark, folder):
+    """Document vectors, and counts and weights of all words, word and character n-grams."""
     docs = corpus(spark, folder)
     train = docs.where(TRAIN)
     sizes = sel.class_sizes(train)
     families = {"vectors": document_vectors(spark, folder)}
-    grams = lambda t: tx.word_ngrams(tx.word_tokens(t))
-    for name, tokens in (("words", WORDS), ("ngrams", grams), ("chars", CHARS)):
+    for name, tokens in SWEPT.items():
         for kind, value in (("count", "n"), ("tfidf", "tfidf")):
-            families[f"{kind}-{name}"] = _packed(docs, train, tokens, value, sizes, 10, ("split", "category"))[0]
-    return va.feature_sweep(families, va.estimator_fitter(lambda n: md.linear_svm(n, tol=1e-3)), CLASSES)
+            cells = staged(_cells(docs, train, tokens, value, sizes), "cells")
+            families[f"{kind}-{name}"] = _pack(cells, value, docs, ("split", "category"))[0]
+    return families
+
+
+def selected_families(spark, folder):
+    """Counts of the best words, word and character n-grams at every percentile."""
+    docs = corpus(spark, folder)
+    train = docs.where(TRAIN)
+    sizes = sel.class_sizes(train)
+    families = {}
+    for name, tokens in SWEPT.items():
+        kept = staged(sel.select_features(_cells(docs, train, tokens, "n", sizes), sizes, "n", PERCENTS), "kept")
+        for p in PERCENTS:
+            cells = kept.where(F.col("percent") == p)
+            families[f"count-{name}-{p}"] = _pack(cells, "n", docs, ("split", "category"))[0]
+    return families
+
+
+def sweep(families):
+    return va.feature_sweep(families, va.estimator_fitter(md.linear_svm), CLASSES)
+
+
+@query("M8")
+def feature_sweep(spark, folder):
+    """One SVM per feature family on all its terms, and one per percentile of each family of counts."""
+    return sweep(whole_families(spark, folder) | selected_families(spark, folder))
 
 
 @query("V1 N4")

@@ -16,3 +16,15 @@ def test_grids_are_whole(spark, monkeypatch, name, grid):
     assert settings == grid
     if name == "grid_search_svm":
         assert {(m.getMaxIter(), m.getTol()) for m in (make(10, **s) for s in settings)} == {(100, t) for t in va.TOLERANCES}
+
+
+def test_sweep_has_every_family_and_percentile(spark, monkeypatch):
+    monkeypatch.setattr(cm, "document_vectors", lambda *_: None)
+    monkeypatch.setattr(va, "feature_sweep", lambda families, *_: families)
+    got = cm.feature_sweep(spark, FOLDER)
+    terms = ("words", "ngrams", "chars")
+    assert set(got) == {"vectors"} | {f"{k}-{t}" for k in ("count", "tfidf") for t in terms} | {f"count-{t}-{p}" for t in terms for p in (10, 25, 50, 75)}
+    width = {name: rows.first().features.size for name, rows in got.items() if rows is not None}
+    for t in terms:
+        sizes = [width[f"count-{t}-{p}"] for p in (10, 25, 50, 75)]
+        assert sizes == sorted(sizes) and 0 < sizes[0] < sizes[-1] < width[f"count-{t}"] == width[f"tfidf-{t}"]
