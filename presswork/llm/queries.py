@@ -1,4 +1,4 @@
-"""The ten operators as named queries over their whole tables, with SQL where SQL can say it."""
+"""The numbered operators as named queries over their whole tables, with SQL where SQL can say it."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presswork.llm import exact_dedup, language_id, maxent_lm, minhash, mixing, neighbours, sentencepiece_codec, token_files, toxicity, warc
+from presswork.llm import exact_dedup, forced_bpe, language_id, maxent_lm, minhash, mixing, neighbours, sentencepiece_codec, token_files, toxicity, warc
 from presswork.llm.shared import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +134,10 @@ def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 def op10_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """Class of near-duplicates of every document; the smallest doc_id of each stays."""
     return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query()
+def op11_forced_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every document by forced-boundary byte-pair encoding, and their decoding, as digests."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return forced_bpe.digests(forced_bpe.round_trip(docs, WORDS))
