@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presswork.llm import exact_dedup, forced_bpe, language_id, maxent_lm, minhash, mixing, neighbours, sentencepiece_codec, token_files, toxicity, warc
+from presswork.llm import exact_dedup, forced_bpe, language_id, maxent_lm, minhash, mixing, neighbours, sentencepiece_codec, token_files, toxicity, warc, whitening
 from presswork.llm.shared import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +141,10 @@ def op11_forced_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every document by forced-boundary byte-pair encoding, and their decoding, as digests."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return forced_bpe.digests(forced_bpe.round_trip(docs, WORDS))
+
+
+@query()
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Whitened components of every usable vector."""
+    vectors = table(spark, folder, "embeddings")
+    return whitening.whiten(vectors, whitening.fit(vectors))
