@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presswork.llm import exact_dedup, forced_bpe, language_id, maxent_lm, minhash, mixing, neighbours, sentencepiece_codec, token_files, toxicity, warc, whitening
+from presswork.llm import exact_dedup, forced_bpe, hard_negatives, language_id, maxent_lm, minhash, mixing, neighbours, sentencepiece_codec, token_files, toxicity, warc, whitening
 from presswork.llm.shared import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,3 +148,23 @@ def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
     """Whitened components of every usable vector."""
     vectors = table(spark, folder, "embeddings")
     return whitening.whiten(vectors, whitening.fit(vectors))
+
+
+@query(
+    """WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+      [floor(256 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+      WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+    met AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+      FROM r a JOIN r b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+    positives AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM met WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT p.anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score, CAST(row_number() OVER
+      (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+    FROM positives p JOIN met m ON p.anchor_id = m.anchor_id AND NOT same AND 30 * positive_score <= 100 * score
+      AND 100 * score <= 90 * positive_score QUALIFY rank <= 10"""
+)
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every 100th vector and its five positives."""
+    vectors = table(spark, folder, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", label), F.col("id") % 100 == 0)

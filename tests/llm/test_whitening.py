@@ -122,3 +122,14 @@ def test_filter_is_small_below_and_large_above():
     v, q = Diagonal(), np.eye(5)
     got = np.abs(np.diag(wh.filtered(v, q, v.times(q), 0.5, 2.0, 9.0, 8)))
     assert got[0] == pytest.approx(1.0) and 1e-4 < got[1] < 1 and got[2:].max() < 1e-6
+
+
+def test_rotations_keep_small_eigenvalues():
+    scales = np.array([1e8, 1e3, 1.0, 1e-4])
+    rng = np.random.default_rng(2)
+    near = np.eye(4) + 0.3 * (lambda a: a + a.T)(np.triu(rng.random((4, 4)), 1))
+    h = np.sqrt(scales)[:, None] * near * np.sqrt(scales)
+    turn = wh.jacobi(h)
+    rest = turn.T @ h @ turn
+    assert np.abs(turn.T @ turn - np.eye(4)).max() < 1e-12
+    assert np.linalg.det(near) * scales.prod() == pytest.approx(np.diag(rest).prod(), rel=1e-9)
