@@ -14,10 +14,11 @@ from presswork.catalog import models as cm
 from presswork.catalog import similarity as cs
 from presswork.catalog import vectors as cv
 from presswork.catalog.features import TRAIN
-from presswork.catalog.registry import CORPUS_SQL, corpus, query, table
+from presswork.catalog.registry import CLASSES, CORPUS_SQL, corpus, query, table
 from presswork.functions.numbers import dot
 from presswork.operators import clusters as ct
 from presswork.operators import tables as tb
+from presswork.operators import validation as va
 from presswork.operators import vectors as vc
 
 KINDS = "(SELECT unnest([1, 2, 3, 4]) AS c)"
@@ -112,13 +113,18 @@ def cross_validated_keys(spark, folder):
     return rows.select("algo", "cv_fold", "metric", bounded.alias("bounded"))
 
 
-GRID_SQL = f"""SELECT count(*) AS settings, 5::BIGINT AS folds, true AS bounded FROM (SELECT unnest(range(0, {{n}})))"""
+GRID_SQL = """SELECT count(*) AS settings, 5::BIGINT AS folds, true AS bounded, true AS useful FROM (SELECT unnest(range(0, {n})))"""
+# micro F1 of the constant answer to four classes: one hit and three false alarms a row
+CONSTANT = 0.4
 
 
 def _grid_keys(results):
+    """Settings and folds, whether F1 is between 0 and 1, and whether the best setting beats a constant in every fold."""
     good = F.col("test_f1").between(0, 1)
+    best = results.groupBy("fold").agg(F.max("test_f1").alias("best")).agg(F.min("best").alias("worst_best"))
     settings, folds = F.countDistinct("setting").alias("settings"), F.countDistinct("fold").alias("folds")
-    return results.agg(settings, folds, F.every(good).alias("bounded"))
+    found = results.agg(settings, folds, F.every(good).alias("bounded"))
+    return found.join(F.broadcast(best), how="cross").select("settings", "folds", "bounded", (F.col("worst_best") >= CONSTANT).alias("useful"))  # one row each
 
 
 @query("V3", GRID_SQL.format(n=16))
@@ -126,6 +132,23 @@ def logistic_grid_keys(spark, folder):
     return _grid_keys(cm.grid_search_logistic(spark, folder))
 
 
+@query("V4", GRID_SQL.format(n=216))
+def svm_grid_keys(spark, folder):
+    return _grid_keys(cm.grid_search_svm(spark, folder))
+
+
+# three losses and penalties x eight costs x nine tolerances x five folds: the smooth ones reach every tolerance
+@query("V4", "SELECT l AS loss, p AS l1, 360::BIGINT AS fits, true AS optimal FROM (VALUES ('hinge', 'False'), ('squared_hinge', 'False'), ('squared_hinge', 'True')) v(l, p)")
+def svm_grid_optimum(spark, folder):
+    """Every squared-hinge setting meets its tolerance; every hinge of a cost up to 1 has a dual value within 5 % of its own."""
+    rows = cm.grid_search_svm(spark, folder)
+    part = lambda name: F.regexp_extract("setting", rf"\b{name}=([^,]+)", 1)
+    rows = rows.select(part("loss").alias("loss"), part("l1").alias("l1"), part("c").cast("double").alias("c"), part("tol").cast("double").alias("tol"), "distance")
+    hinge = (F.col("c") > 1) | (F.col("tol") < 0.05) | (F.col("distance") <= 0.05)
+    met = F.when(F.col("loss") == "hinge", hinge).otherwise(F.col("distance") <= F.col("tol"))
+    return rows.groupBy("loss", "l1").agg(F.count(F.lit(1)).alias("fits"), F.every(met).alias("optimal"))
+
+
 @query(
     "E12 W9",
     "SELECT CAST(p AS INTEGER) AS percent, true AS bounded FROM (SELECT unnest(range(10, 101, 10)) AS p)",
@@ -136,26 +159,27 @@ def learning_curve_keys(spark, folder):
 
 
 def _sweep_keys(rows):
+    """Keys of a sweep, whether the scores are bounded, and whether each fit's gradient is within the tolerance."""
     bounded = F.col("average_precision").between(0, 1 + 1e-9) & F.col("f1").between(0, 1)
-    return rows.select("family", "class_id", bounded.alias("bounded"))
+    return rows.select("family", "class_id", bounded.alias("bounded"), (F.col("distance") <= 1e-4).alias("optimal"))
 
 
 @query(
     "M8",
-    f"""SELECT family, CAST(c - 1 AS INTEGER) AS class_id, true AS bounded FROM {KINDS},
+    f"""SELECT family, CAST(c - 1 AS INTEGER) AS class_id, true AS bounded, true AS optimal FROM {KINDS},
     (SELECT unnest(['vectors', 'count-words', 'tfidf-words', 'count-ngrams', 'tfidf-ngrams', 'count-chars', 'tfidf-chars']) AS family)""",
 )
 def feature_sweep_keys(spark, folder):
-    return _sweep_keys(cm.sweep(cm.whole_families(spark, folder)))
+    return _sweep_keys(va.feature_sweep(cm.sweep_tables(spark, folder, selected=False), CLASSES))
 
 
 @query(
     "M8",
-    f"""SELECT family || '-' || p AS family, CAST(c - 1 AS INTEGER) AS class_id, true AS bounded FROM {KINDS},
+    f"""SELECT family || '-' || p AS family, CAST(c - 1 AS INTEGER) AS class_id, true AS bounded, true AS optimal FROM {KINDS},
     (SELECT unnest(['count-words', 'count-ngrams', 'count-chars']) AS family), (SELECT unnest([10, 25, 50, 75]) AS p)""",
 )
 def feature_sweep_percentile_keys(spark, folder):
-    return _sweep_keys(cm.sweep(cm.selected_families(spark, folder)))
+    return _sweep_keys(va.feature_sweep(cm.sweep_tables(spark, folder, whole=False), CLASSES))
 
 
 # ---- clusters, topics, projections, vectors

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from presswork.operators import bayes as nb
 from presswork.operators import clusters as ct
 from presswork.operators import ensembles as en
 from presswork.operators import explain as ex
+from presswork.operators import linear as lm
 from presswork.operators import metrics as mt
 from presswork.operators import models as md
 from presswork.operators import sampling as sm
@@ -265,27 +267,22 @@ def _cells(docs, train, tokens, value, sizes):
     return tm.tfidf(docs, column, known, sum(sizes.values()), ("split", "category"))
 
 
-def _pack(cells, value, docs, keep):
-    """Vectors of all ``docs`` over the terms of ``cells``, and the terms' places."""
-    places = cells.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    places = staged(tm.number_vocabulary(places), "places")
-    return ct.pack_vectors(cells, places, places.count(), value, docs, keep), places
-
-
-def _packed(docs, train, tokens, value, sizes, percent, keep):
-    """Vectors of all ``docs`` over the best terms of a family chosen on ``train``, and the terms' places."""
-    kept = sel.select_features(_cells(docs, train, tokens, value, sizes), sizes, value, [percent])
-    return _pack(staged(kept, "kept"), value, docs, keep)
+def _placed(cells):
+    """Staged places of the terms of ``cells`` in a vector."""
+    return staged(tm.number_vocabulary(cells.groupBy("term").agg(F.count(F.lit(1)).alias("df"))), "places")
 
 
 @query("I1 M2 J7")
 def top_logistic_weights(spark, folder):
-    """Strongest word n-grams of a logistic model on counts, per class, bias included."""
+    """Strongest word n-grams of a logistic model on the counts of all of them, per class, bias included."""
     docs = corpus(spark, folder).where(TRAIN)
-    sizes = sel.class_sizes(docs)
-    rows, places = _packed(docs, docs, lambda t: tx.word_ngrams(tx.word_tokens(t)), "n", sizes, 10, ("category",))
-    model = md.fit_binary_relevance(rows, md.logistic(sum(sizes.values())), CLASSES)
-    return ex.strongest(ex.name_positions(md.weight_table(spark, model), places), 10)
+    cells = staged(_cells(docs, docs, SWEPT["ngrams"], "n", {}), "cells")
+    places = _placed(cells)
+    rows = lm.sparse_rows(cells, places, "n", lm.labelled(docs, CLASSES).withColumn("fold", F.lit(0)), ("label", "fold"))
+    fits = lm.fit_many(rows, places.count(), [lm.Problem(i, "logistic") for i in range(len(CLASSES))])
+    found = spark.createDataFrame(lm.strongest(fits, 10), "class_id INT, position BIGINT, weight DOUBLE, rank INT")
+    named = F.broadcast(found).join(places.select("term", "position"), "position", "left")
+    return named.select("class_id", "position", F.coalesce("term", F.lit("<BIAS>")).alias("term"), "weight", "rank")
 
 
 @query("M1 M7")
@@ -321,41 +318,49 @@ SWEPT = {"words": WORDS, "ngrams": lambda t: tx.word_ngrams(tx.word_tokens(t)),
 PERCENTS = (10, 25, 50, 75)
 
 
-def whole_families(spark, folder):
-    """Document vectors, and counts and weights of all words, word and character n-grams."""
-    docs = corpus(spark, folder)
+def sweep_tables(spark, folder, whole=True, selected=True):
+    """Tables of a feature sweep: document vectors, counts and weights of words, word and character n-grams.
+
+    Families are all features of each (``whole``) and, of counts, the best percentiles (``selected``).
+    """
+    docs = lm.labelled(corpus(spark, folder), CLASSES).withColumn("fold", F.lit(0))
     train = docs.where(TRAIN)
     sizes = sel.class_sizes(train)
-    families = {"vectors": document_vectors(spark, folder)}
+    tables = {}
+    if whole:
+        vectors = lm.labelled(document_vectors(spark, folder), CLASSES)
+        tables["vectors"] = (vectors, len(vectors.first().vec), {"vectors": None})
     for name, tokens in SWEPT.items():
         for kind, value in (("count", "n"), ("tfidf", "tfidf")):
+            families = {f"{kind}-{name}": None} if whole else {}
+            if kind == "tfidf" and not whole:
+                continue
             cells = staged(_cells(docs, train, tokens, value, sizes), "cells")
-            families[f"{kind}-{name}"] = _pack(cells, value, docs, ("split", "category"))[0]
-    return families
-
-
-def selected_families(spark, folder):
-    """Counts of the best words, word and character n-grams at every percentile."""
-    docs = corpus(spark, folder)
-    train = docs.where(TRAIN)
-    sizes = sel.class_sizes(train)
-    families = {}
-    for name, tokens in SWEPT.items():
-        kept = staged(sel.select_features(_cells(docs, train, tokens, "n", sizes), sizes, "n", PERCENTS), "kept")
-        for p in PERCENTS:
-            cells = kept.where(F.col("percent") == p)
-            families[f"count-{name}-{p}"] = _pack(cells, "n", docs, ("split", "category"))[0]
-    return families
-
-
-def sweep(families):
-    return va.feature_sweep(families, va.estimator_fitter(md.linear_svm), CLASSES)
+            places = _placed(cells)
+            width = places.count()
+            if kind == "count" and selected:
+                families |= _masks(cells, sizes, places, width, f"{kind}-{name}")
+            rows = lm.sparse_rows(cells, places, value, docs, ("label", "fold", "split"))
+            tables[f"{kind}-{name}"] = (rows, width, families)
+    return tables
+
+
+def _masks(cells, sizes, places, width, name):
+    """Which places hold the best terms, for every percentile."""
+    chosen = sel.select_percentiles(sel.anova_f(cells.where(TRAIN), sizes, "n"), PERCENTS)
+    found = chosen.join(places, "term").select("percent", "position").toArrow()
+    percent, position = (found.column(c).to_numpy() for c in ("percent", "position"))
+    masks = {}
+    for p in PERCENTS:
+        mask = masks[f"{name}-{p}"] = np.zeros(width)
+        mask[position[percent == p]] = 1.0
+    return masks
 
 
 @query("M8")
 def feature_sweep(spark, folder):
     """One SVM per feature family on all its terms, and one per percentile of each family of counts."""
-    return sweep(whole_families(spark, folder) | selected_families(spark, folder))
+    return va.feature_sweep(sweep_tables(spark, folder), CLASSES)
 
 
 @query("V1 N4")
@@ -377,12 +382,13 @@ def cross_validate_all(spark, folder):
 
 @query("V3")
 def grid_search_logistic(spark, folder):
-    return va.grid_search(document_vectors(spark, folder), va.logistic_grid(), md.logistic, CLASSES, train_scores=True)
+    return va.grid_search_linear(document_vectors(spark, folder), va.logistic_grid(), CLASSES)
 
 
 @query("V4")
 def grid_search_svm(spark, folder):
-    return va.grid_search(document_vectors(spark, folder), va.svm_grid(), md.linear_svm, CLASSES)
+    """Two losses and penalties, eight costs and nine tolerances over five folds."""
+    return va.grid_search_linear(document_vectors(spark, folder), va.svm_grid(), CLASSES).drop("train_f1")
 
 
 @query("V5")

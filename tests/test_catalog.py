@@ -19,6 +19,9 @@ SLOW = {
     "feature_sweep_keys",
     "cross_validated_keys",
     "logistic_grid_keys",
+    "svm_grid_keys",
+    "svm_grid_optimum",
+    "feature_sweep_percentile_keys",
     "learning_curve_keys",
     "stacking_tally",
     "bagging_tally",
