@@ -1,17 +1,22 @@
 """Language-model scoring: a hashed maximum-entropy model with a class-factored softmax.
 
-P(token | two tokens before) = P(class | features) * P(token | class, features). The features are
-the token before (n-gram), the two before (n-gram) and the second before alone (skip); each is
-hashed to a row of class weights, and with a class to a row of weights of the class' tokens.
-``WORDS`` frequent tokens, the end among them, fall into classes by frequency; all other tokens
-share one more class, whose mass is spread over them by their counts plus one, one unseen token
-included. So the probabilities of all tokens sum to one, and every count of the corpus is used.
-
-Training gathers how often each token follows each pair, over the whole corpus (rows pre-added by
-task), and stages that table. Each round of gradient ascent is a Spark job: tasks compute the
-gradient over their contexts with the broadcast weights, Spark adds the parts up block by block,
-and the driver takes the step; the weights have a fixed size. Scoring handles a batch of texts at
-a time: each distinct context of the batch is computed once, in numpy.
+The tokens seen at least ``LEAST`` times, up to ``COMMON``, are leaves of a tree of classes, built from
+their counts so that frequent ones lie near the root; all rarer ones share one more leaf, whose mass
+is spread over them by their counts plus one, one unseen token included. A token's probability is
+the product, down the tree, of the softmax of ``BRANCHES`` children at each class:
+
+    P(child | class, context) = softmax(share of the child in the class + sum of three weights)
+
+The features of a context are the token before, the two before (n-grams) and the second before
+alone (skip), whatever tokens these are: each is hashed from their 64-bit keys and the class to a row
+of weights. So the probabilities of all tokens sum to one, and every count of the corpus is used.
+
+The number of weight rows grows with the corpus, up to ``MOST_ROWS`` (64 bytes each). Each round of
+training is a Spark job over its share of the documents, all documents in all: a task adds up what
+it observes in each row and what the model expects there, the gradient being their difference; Spark
+adds the tasks' tables up block by block, and the driver moves each weight by the logarithm of
+observed over expected, smoothed, which is the gradient's direction with the step that iterative
+scaling takes. Tables travel as 16-bit floats. Scoring handles a batch of texts at a time, in numpy.
 
 Counts are keyed by 64-bit hashes of tokens. Those of the ``COMMON`` most frequent tokens are
 broadcast; occurrences of the rest are joined with the table of counts, in which no key is then
@@ -20,6 +25,7 @@ left that many documents share.
 
 from __future__ import annotations
 
+import heapq
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -32,18 +38,18 @@ from presswork.llm.shared import arrow_rows, mix64, names_of, pieces, slices, su
 from presswork.llm.words import Words, word_key
 from presswork.plans.stage import staged
 
-WORDS = 1024
-CLASSES = 32
 COMMON = 1 << 19
-CLASS_ROWS = 1 << 13
-TOKEN_ROWS = 1 << 15
-ROUNDS = 6
-RATE = 1.0
-PENALTY = 2.0  # occurrences by which a hashed weight is held back
+LEAST = 3  # occurrences of a token with a leaf of its own
+BRANCHES = 16
+MOST_ROWS = 1 << 20
+ROUNDS = 2
+SMOOTH = 8.0  # occurrences at the model's own odds that are added to observed and expected
+SHARE = 0.4  # of a whole step: the three features of a context move together
 TOGETHER = 8_000_000  # bytes of text whose tokens are looked up together
-BLOCK = 1 << 15  # contexts whose softmax is computed together
-PARTS = 64  # blocks of the gradient
+BLOCK = 1 << 17  # tokens whose softmax is computed together
+PARTS = 64  # blocks of the tables
 LANES = 32  # tasks' parts of a block are first added up in so many lanes
+TASK_TOKENS = 100_000_000  # tokens that a task of a round reads, at least, where there are more tasks than cores
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _LOG10 = np.log(10.0)
 # the end of a text is a token that no word can equal: words hold no white space
@@ -71,79 +77,90 @@ class Counts:
 @dataclass
 class Model:
     counts: Counts
-    words: np.ndarray  # sorted keys of the modelled tokens
-    token: np.ndarray  # their numbers: token = class * width + slot
-    classes: int  # without that of all others
-    width: int
-    class_bias: np.ndarray
-    token_bias: np.ndarray  # classes x width
-    class_weights: np.ndarray  # CLASS_ROWS x (classes + 1)
-    token_weights: np.ndarray  # TOKEN_ROWS x width
-    other_mass: float  # sum of count + 1 over the tokens of the last class, the unseen one included
+    words: np.ndarray  # sorted keys of the tokens with a leaf
+    leaf: np.ndarray  # their leaves; the leaf of all others is the last
+    parent: np.ndarray  # class above each leaf and class; the root, the last class, is its own
+    place: np.ndarray  # among the class' children
+    shares: np.ndarray  # log share of each child, classes x BRANCHES
+    weights: np.ndarray  # rows x BRANCHES
+    other_mass: float  # sum of count + 1 over the tokens of the last leaf, the unseen one included
 
     @property
     def other(self) -> int:
-        return self.classes * self.width
+        return len(self.words)
 
-    def tokens_of(self, keys: np.ndarray) -> np.ndarray:
+    def leaves_of(self, keys: np.ndarray) -> np.ndarray:
         if not len(self.words):
             return np.full(len(keys), self.other)
         at = np.minimum(np.searchsorted(self.words, keys), len(self.words) - 1)
-        return np.where(self.words[at] == keys, self.token[at], self.other)
+        return np.where(self.words[at] == keys, self.leaf[at], self.other)
 
+    def way(self, leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place in ``leaf``, class, child) of every class above each leaf."""
+        root, first = len(self.shares) - 1, len(self.words) + 1
+        at, now = np.arange(len(leaf)), leaf
+        found = [[np.empty(0, np.int64)] * 3]
+        while len(now) and root >= 0:
+            above = self.parent[now]
+            found.append([at, above, self.place[now]])
+            left = above != root
+            at, now = at[left], above[left] + first
+        return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
-def features(one: np.ndarray, two: np.ndarray, rows: int, of: np.ndarray | None = None) -> np.ndarray:
-    """Hashed rows of the three features of contexts (token before, second before): 3 x contexts."""
-    a, b = (one + 2).astype(np.uint64), (two + 2).astype(np.uint64)
-    base = np.zeros(len(a), np.uint64) if of is None else (of + 1).astype(np.uint64) << np.uint64(48)
-    kinds = (a, b + np.uint64(1 << 20), (a << np.uint64(22)) + b + np.uint64(1 << 44))
-    return np.stack([(mix64((k + base) * _GOLD) % np.uint64(rows)).astype(np.int64) for k in kinds])
 
+def class_tree(counts: np.ndarray, branches: int = BRANCHES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(parent, place, log shares) of the tree that joins the ``branches`` rarest again and again.
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
-
-
-def _activations(bias: np.ndarray, weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    x = weights[rows[0]] + bias
-    for row in rows[1:]:
-        x += weights[row]
+    ``counts`` are those of the leaves. Nodes are leaves, then classes; parents are numbers of classes.
+    """
+    n = len(counts)
+    left = [(float(c), i) for i, c in enumerate(counts)]
+    heapq.heapify(left)
+    parent, place, mass = [0] * n, [0] * n, list(map(float, counts))
+    take = (n - 2) % (branches - 1) + 2 if n > 1 else 0  # so that all later classes are full
+    children: list[list[int]] = []
+    while len(left) > 1:
+        some = [heapq.heappop(left) for _ in range(take)]
+        for slot, (_, i) in enumerate(some):
+            parent[i], place[i] = len(children), slot
+        children.append([i for _, i in some])
+        mass.append(sum(c for c, _ in some))
+        heapq.heappush(left, (mass[-1], n + len(children) - 1))
+        parent.append(len(children) - 1)
+        place.append(0)
+        take = branches
+    shares = np.full((len(children), branches), -1e9, np.float32)
+    for c, some in enumerate(children):
+        shares[c, : len(some)] = np.log([max(mass[i], 1e-300) / max(mass[n + c], 1e-300) for i in some])
+    return np.array(parent, np.int64), np.array(place, np.int64), shares
+
+
+def features(one: np.ndarray, two: np.ndarray, above: np.ndarray, rows: int) -> list[np.ndarray]:
+    """Rows of the three features of contexts (keys of the token before and of the second before) at classes."""
+    node = (above.astype(np.uint64) + np.uint64(1)) * _GOLD
+    kinds = (one * np.uint64(3) + np.uint64(1), two * np.uint64(5) + np.uint64(2), mix64(one + np.uint64(7)) + two * np.uint64(7))
+    return [(mix64(k ^ node) & np.uint64(rows - 1)).astype(np.int64) for k in kinds]
+
+
+def softmax(model: Model, above: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
+    """Probabilities of all children of classes; weights are bounded, so nothing overflows."""
+    x = model.shares[above]
+    for row in rows:
+        x += model.weights[row]
+    np.exp(np.minimum(x, 60.0, out=x), out=x)
+    x /= np.maximum(x @ np.ones(x.shape[1], np.float32), np.float32(1e-37))[:, None]
     return x
 
 
-def log_prob(model: Model, two: np.ndarray, one: np.ndarray, token: np.ndarray) -> np.ndarray:
-    """Natural log probability of tokens (the class of others as a whole) after two tokens.
-
-    Each distinct context, and each distinct pair of context and class, is computed once, in
-    blocks of ``BLOCK``.
-    """
-    span = np.int64(model.other + 3)
-    which, context = pd.factorize((two + 1) * span + (one + 1))
-    c_two, c_one = context // span - 1, context % span - 1
-    of = np.minimum(token // model.width, model.classes)
-    out = np.zeros(len(token))
-    # class after a context, then token in a class after a context: both as distinct cells of a table
-    for level in (0, 1):
-        mine = np.arange(len(token)) if level == 0 else np.flatnonzero(of < model.classes)
-        row = which if level == 0 else which[mine] * np.int64(model.classes) + of[mine]
-        width = model.classes + 1 if level == 0 else model.width
-        back, cell = pd.factorize(row * width + (of if level == 0 else token[mine] % model.width))
-        line, column = cell // width, cell % width
-        found, lines = pd.factorize(line)
-        value = np.empty(len(cell))
-        order = np.argsort(found, kind="stable")
-        cuts = np.searchsorted(found[order], np.arange(0, len(lines) + BLOCK, BLOCK))
-        for b, (low, high) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-            some = lines[b * BLOCK : (b + 1) * BLOCK]
-            if level == 0:
-                x = _activations(model.class_bias, model.class_weights, features(c_one[some], c_two[some], CLASS_ROWS))
-            else:
-                c, group = some // model.classes, some % model.classes
-                x = _activations(model.token_bias[group], model.token_weights, features(c_one[c], c_two[c], TOKEN_ROWS, group))
-            cells = order[low:high]
-            value[cells] = _log_softmax(x)[found[cells] - b * BLOCK, column[cells]]
-        out[mine] += value[back]
+def log_prob(model: Model, two: np.ndarray, one: np.ndarray, leaf: np.ndarray) -> np.ndarray:
+    """Natural log probability of leaves after two tokens, told by their keys."""
+    out = np.zeros(len(leaf))
+    for first in range(0, len(leaf), BLOCK):
+        part = slice(first, first + BLOCK)
+        at, above, child = model.way(leaf[part])
+        p = softmax(model, above, features(one[part][at], two[part][at], above, len(model.weights)))
+        log = np.log(np.maximum(p[np.arange(len(at)), child], 1e-37).astype(np.float64))
+        out[part] = np.bincount(at, weights=log, minlength=len(leaf[part]))
     return out
 
 
@@ -160,13 +177,13 @@ def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(parts), np.concatenate(ends)
 
 
-def before(token: np.ndarray, bounds: np.ndarray, by: int, start: int = -1) -> np.ndarray:
-    """The token ``by`` places before each, within its text; ``start`` where there is none."""
-    out = np.full(len(token), start, dtype=np.int64)
-    out[by:] = token[:-by] if by else token
+def before(keys: np.ndarray, bounds: np.ndarray, by: int) -> np.ndarray:
+    """The key ``by`` places before each, within its text; 1 where there is none."""
+    out = np.ones(len(keys), dtype=np.uint64)
+    out[by:] = keys[:-by]
     for k in range(by):
         at = bounds[:-1] + k
-        out[at[at < bounds[1:]]] = start
+        out[at[at < bounds[1:]]] = 1
     return out
 
 
@@ -201,136 +218,91 @@ def common_counts(table: DataFrame, common: int = COMMON) -> Counts:
     return Counts(keys[order], counts[order], total.n or 0, total.v or 0, end.n if end else 0)
 
 
-def initial(counts: Counts, words: int = WORDS, classes: int = CLASSES) -> Model:
-    """Classes of equally many tokens by frequency; biases at the smoothed unigram probabilities."""
-    order = np.lexsort((counts.keys, -counts.counts))[:words]
-    order = order[counts.counts[order] > 0]
-    width = max(1, -(-len(order) // classes))
-    used = -(-len(order) // width) if len(order) else 0
-    token = np.arange(len(order))
-    by_key = np.argsort(counts.keys[order])
-    mass = np.full((used, width), -1e9)
-    mass.reshape(-1)[: len(order)] = np.log(counts.counts[order])
+def initial(counts: Counts, least: int = LEAST, most_rows: int = MOST_ROWS) -> Model:
+    """The tree of classes, and weights of 0: a row for each token, in large corpora for 64 of them."""
+    order = np.lexsort((counts.keys, -counts.counts))
+    order = order[counts.counts[order] >= least]
     other = counts.total - counts.counts[order].sum() + (counts.distinct - len(order)) + 1.0
-    of_class = np.append(np.exp(mass).sum(axis=1), other)
-    return Model(
-        counts, counts.keys[order][by_key], token[by_key], used, width, np.log(of_class).astype(np.float32), mass.astype(np.float32),
-        np.zeros((CLASS_ROWS, used + 1), np.float32), np.zeros((TOKEN_ROWS, width), np.float32), float(other),
-    )
+    parent, place, shares = class_tree(np.append(counts.counts[order], other))
+    by_key = np.argsort(counts.keys[order])
+    rows = min(counts.total, max(1 << 19, counts.total // 64), most_rows)
+    rows = 1 << max(4, int(rows).bit_length() - 1)
+    return Model(counts, counts.keys[order][by_key], by_key, parent, place, shares, np.zeros((rows, BRANCHES), np.float32), float(other))
 
 
-def gather(docs: DataFrame, learn: Column, text: str, model: Model) -> DataFrame:
-    """Staged (context, token, n): how often each token follows each pair in the rows to learn from."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    span = model.other + 3
+def observe(model: Model, keys: np.ndarray, bounds: np.ndarray, observed: np.ndarray, expected: np.ndarray) -> None:
+    """Add up in flat tables what each row's features saw, and what the model expected them to see."""
+    one, two, leaf = before(keys, bounds, 1), before(keys, bounds, 2), model.leaves_of(keys)
+    each = np.arange(BRANCHES)
+    for first in range(0, len(leaf), BLOCK):
+        part = slice(first, first + BLOCK)
+        at, above, child = model.way(leaf[part])
+        rows = features(one[part][at], two[part][at], above, len(model.weights))
+        p = softmax(model, above, rows).reshape(-1)
+        seen = np.ones(len(at), np.float32)
+        for row in rows:
+            np.add.at(observed, row * BRANCHES + child, seen)
+            np.add.at(expected, ((row * BRANCHES)[:, None] + each).reshape(-1), p)
 
-    def work(batches):
-        known = shared.value
-        for batch in batches:
-            for _, part in pieces(batch, "text", TOGETHER):
-                keys, bounds = tokens(part)
-                which, distinct = pd.factorize(keys)
-                token = known.tokens_of(distinct)[which]
-                code = ((before(token, bounds, 2) + 1) * span + (before(token, bounds, 1) + 1)) * span + token
-                which, code = pd.factorize(code)
-                yield {"context": code // span, "token": (code % span).astype(np.int32), "n": np.bincount(which, minlength=len(code))}
 
-    rows = docs.where(learn).select(whole_text(text).alias("text"))
-    parts = arrow_rows(rows, work, "context long, token int, n long")
-    return staged(parts.groupBy("context", "token").agg(F.sum("n").alias("n")), "contexts")
+def moved(observed: np.ndarray, expected: np.ndarray) -> np.ndarray:
+    """How far weights go: a share of the log of observed over expected, both smoothed by the model's odds."""
+    rest = SMOOTH * expected / np.maximum(expected.sum(axis=1, keepdims=True), 1e-9) + 1e-6
+    return (SHARE * np.log((observed + rest) / (expected + rest))).astype(np.float32)
 
 
-def _gradient(model: Model, context, token, n):
-    """Gradient of the log likelihood over rows (context, token, n), and rows' weights (for the step).
+def packed(x: np.ndarray) -> bytes:
+    """The upper 16 bits of each float, rounded."""
+    return ((x.view(np.uint32) + np.uint32(0x8000)) >> np.uint32(16)).astype(np.uint16).tobytes()
 
-    Rows of a context may be spread over calls: the model's part is weighed by the rows seen.
-    """
-    span = np.int64(model.other + 3)
-    two, one = context // span - 1, context % span - 1
-    of = np.minimum(token // model.width, model.classes)
-    grads, seen = [], []
-    for level, (rows_of, weights, bias) in enumerate(
-        ((CLASS_ROWS, model.class_weights, model.class_bias), (TOKEN_ROWS, model.token_weights, model.token_bias))
-    ):
-        grad, weight = np.zeros(weights.shape), np.zeros(rows_of)
-        mine = slice(None) if level == 0 else np.flatnonzero(of < model.classes)
-        c, target, count, group = context[mine], (of if level == 0 else token % model.width)[mine], n[mine], of[mine]
-        if len(c):
-            code = c if level == 0 else c * np.int64(model.classes) + group
-            _, first, back = np.unique(code, return_index=True, return_inverse=True)
-            rows = features(one[mine][first], two[mine][first], rows_of, None if level == 0 else group[first])
-            base = bias if level == 0 else bias[group[first]]
-            residual = np.exp(_log_softmax(_activations(base, weights, rows))).astype(np.float64)
-            mass = np.bincount(back, weights=count, minlength=len(first))
-            residual *= -mass[:, None]
-            seen_at = np.bincount(back * np.int64(residual.shape[1]) + target, weights=count, minlength=residual.size)
-            residual += seen_at.reshape(residual.shape)
-            for row in rows:
-                order = np.argsort(row, kind="stable")
-                heads = np.flatnonzero(np.concatenate([[True], row[order][1:] != row[order][:-1]]))
-                grad[row[order][heads]] += np.add.reduceat(residual[order], heads, axis=0)
-                weight += np.bincount(row, weights=mass, minlength=rows_of)
-        grads.append(grad)
-        seen.append(weight)
-    return grads, seen
+
+def unpacked(raw: bytes) -> np.ndarray:
+    return (np.frombuffer(raw, np.uint16).astype(np.uint32) << np.uint32(16)).view(np.float32)
 
 
 def _add_up(parts: DataFrame, tasks: int) -> DataFrame:
     """One row per block; the parts of many tasks are first added up in lanes."""
 
     def add(one: pa.Table) -> pa.Table:
-        total = None
-        for value in one.column("value"):
-            flat = np.frombuffer(value.as_py(), dtype=np.float32)
-            total = flat.copy() if total is None else total + flat
+        total = sum(unpacked(value.as_py()) for value in one.column("value"))
         first = one.slice(0, 1)
-        return pa.table({"block": first.column("block"), "lane": first.column("lane"), "value": pa.array([total.tobytes()], pa.binary())})
+        return pa.table({"block": first.column("block"), "lane": first.column("lane"), "value": pa.array([packed(total)], pa.binary())})
 
     if tasks > LANES:
         parts = parts.groupBy("block", "lane").applyInArrow(add, "block int, lane int, value binary")
     return parts.groupBy("block").applyInArrow(add, "block int, lane int, value binary")
 
 
-def improve(model: Model, table: DataFrame, rounds: int = ROUNDS) -> Model:
-    """Gradient ascent on all gathered rows, a Spark job a round; weights are stepped on the driver.
-
-    A weight's step is its gradient over the occurrences of its row, held back by ``PENALTY``.
-    """
-    spark = table.sparkSession
-    if not model.classes:
+def improve(model: Model, docs: DataFrame, text: str, rounds: int = ROUNDS) -> Model:
+    """A Spark job a round, over the documents whose text's hash falls to it; the driver moves the weights."""
+    spark = docs.sparkSession
+    if not len(model.shares):
         return model
-    sizes = [CLASS_ROWS * (model.classes + 2), TOKEN_ROWS * (model.width + 1)]
-    step = -(-sum(sizes) // PARTS)
-    for _ in range(rounds):
+    texts = docs.select(whole_text(text).alias("text"))
+    tasks = max(spark.sparkContext.defaultParallelism, model.counts.total // TASK_TOKENS)
+    size = model.weights.size
+    step = -(-len(model.weights) // PARTS) * BRANCHES
+    for turn in range(rounds):
         shared = spark.sparkContext.broadcast(replace(model, counts=None))
 
         def work(batches, shared=shared):
             from pyspark import TaskContext
 
-            now, total = shared.value, None
+            now, sums = shared.value, np.zeros((2, size), np.float32)
             for batch in batches:
-                if len(batch):
-                    context, token, n = (batch.column(c).to_numpy() for c in ("context", "token", "n"))
-                    grads, seen = _gradient(now, context, token.astype(np.int64), n)
-                    flat = np.concatenate([np.column_stack([g, s]).reshape(-1) for g, s in zip(grads, seen, strict=True)])
-                    total = flat if total is None else total + flat
-            if total is not None:
-                for i in range(PARTS):
-                    part = total[i * step : (i + 1) * step].astype(np.float32)
-                    yield {"block": [i], "lane": [TaskContext.get().partitionId() % LANES], "value": [part.tobytes()]}
-
-        # a task for each core, each with one gradient however many rows it has read
-        cores = spark.sparkContext.defaultParallelism
-        parts = arrow_rows(table.coalesce(cores), work, "block int, lane int, value binary")
-        got = _add_up(parts, cores).toArrow()
-        blocks = dict(zip(got.column("block").to_pylist(), got.column("value").to_pylist(), strict=True))
-        if not blocks:
-            return model
-        flat = np.concatenate([np.frombuffer(blocks[i], dtype=np.float32) for i in range(PARTS)])
+                for _, part in pieces(batch, "text", TOGETHER):
+                    observe(now, *tokens(part), *sums)
+            for i in range(0, size, step):
+                yield {"block": [i // step], "lane": [TaskContext.get().partitionId() % LANES], "value": [packed(sums[:, i : i + step].reshape(-1))]}
+
+        share = texts.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == turn).coalesce(tasks)
+        got = _add_up(arrow_rows(share, work, "block int, lane int, value binary"), tasks).toArrow()
         shared.unpersist()
-        for weights, part in ((model.class_weights, flat[: sizes[0]]), (model.token_weights, flat[sizes[0] :])):
-            part = part.reshape(len(weights), -1)
-            weights += (RATE * (part[:, :-1] - PENALTY * weights) / (part[:, -1:] + PENALTY)).astype(np.float32)
+        weights = model.weights.copy()
+        for block, value in zip(got.column("block").to_pylist(), got.column("value"), strict=True):
+            observed, expected = unpacked(value.as_py()).reshape(2, -1, BRANCHES)
+            weights[block * step // BRANCHES :][: len(observed)] += moved(observed, expected)
+        model = replace(model, weights=weights)
     return model
 
 
@@ -338,8 +310,7 @@ def train(docs: DataFrame, learn: Column, text: str = "text", rounds: int = ROUN
     """The model and the staged table of all tokens' counts, from all rows where ``learn`` holds."""
     names_of(docs, [text])
     table = count_tokens(docs, learn, text)
-    model = initial(common_counts(table))
-    return improve(model, gather(docs, learn, text, model), rounds), table
+    return improve(initial(common_counts(table)), docs.where(learn), text, rounds), table
 
 
 def score(docs: DataFrame, model: Model, table: DataFrame, text: str = "text") -> DataFrame:
@@ -366,13 +337,13 @@ def score(docs: DataFrame, model: Model, table: DataFrame, text: str = "text") -
             for first, part in pieces(batch, text, TOGETHER):
                 keys, bounds = tokens(part)
                 which, distinct = pd.factorize(keys)
-                token = known.tokens_of(distinct)[which]
+                leaf = known.leaves_of(distinct)[which]
                 at, there = counts.find(distinct)
                 n = np.where(there, counts.counts[at] if len(counts.keys) else 0, 0)
                 own = np.log10(n + 1.0)[which]  # of rare tokens: added after the join
                 n, there = n[which], there[which]
-                outside = token == known.other
-                model_log = log_prob(known, before(token, bounds, 2), before(token, bounds, 1), token) / _LOG10
+                outside = leaf == known.other
+                model_log = log_prob(known, before(keys, bounds, 2), before(keys, bounds, 1), leaf) / _LOG10
                 model_log += np.where(outside, own - other_log, 0.0)
                 row = np.repeat(np.arange(len(part)), np.diff(bounds))
                 rare = np.flatnonzero(~there)
