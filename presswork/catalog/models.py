@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from presswork.operators import bayes as nb
 from presswork.operators import clusters as ct
 from presswork.operators import ensembles as en
 from presswork.operators import explain as ex
+from presswork.operators import kernel_shap as ks
 from presswork.operators import linear as lm
 from presswork.operators import metrics as mt
 from presswork.operators import models as md
@@ -451,3 +453,34 @@ def shapley_rows(spark, folder):
 def shapley_sampled(spark, folder):
     values = shapley_rows(spark, folder)
     return values.groupBy("class_id", "position", "base").agg(F.avg(F.abs("phi")).alias("mean_abs"))
+
+
+def _ngram_logistic(spark, folder):
+    """The corpus, its TF-IDF n-grams and a logistic model on all of them: (docs, cells, rows, width, fits, weights)."""
+    docs = lm.labelled(corpus(spark, folder), CLASSES).withColumn("fold", F.lit(0))
+    train = docs.where(TRAIN)
+    cells = staged(_cells(docs, train, SWEPT["ngrams"], "tfidf", sel.class_sizes(train)), "cells")
+    places = _placed(cells)
+    width = places.count()
+    rows = lm.sparse_rows(cells, places, "tfidf", docs, ("label", "fold", "split"))
+    fits = lm.fit_many(rows.where(TRAIN), width, [lm.Problem(i, "logistic") for i in range(len(CLASSES))])
+    model = np.stack([f.weights[-1][:-1] for f in fits], axis=1)
+    table = pa.table({"position": np.arange(width), "w": pa.FixedSizeListArray.from_arrays(pa.array(model.reshape(-1)), len(fits)).cast(pa.list_(pa.float64()))})
+    weights = staged(places.join(spark.createDataFrame(table), "position").select("term", "df", "w"), "weights")
+    return docs, cells, rows, width, fits, weights
+
+
+@query("I5")
+def shapley_ngrams(spark, folder):
+    """Kernel SHAP values of every document's n-grams for the probabilities of the logistic model."""
+    docs, cells, _, _, fits, weights = _ngram_logistic(spark, folder)
+    biases = [float(f.weights[-1][-1]) for f in fits]
+    return ks.kernel_shap(docs, cells, weights, biases, sm.sample_n(docs.select("doc_id"), 20, seed=0))
+
+
+@query("I6")
+def shapley_ngram_summary(spark, folder):
+    """The 20 n-grams of each class with the largest mean of absolute values over all documents."""
+    values = shapley_ngrams(spark, folder).groupBy("class_id", "term").agg(F.sum(F.abs("phi")).alias("weight"))
+    strong = ex.strongest(values, 20)
+    return strong.select("class_id", "term", (F.col("weight") / corpus(spark, folder).count()).alias("mean_abs"), "rank")
