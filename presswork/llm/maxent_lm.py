@@ -46,7 +46,7 @@ ROUNDS = 2
 SMOOTH = 8.0  # occurrences at the model's own odds that are added to observed and expected
 SHARE = 0.4  # of a whole step: the three features of a context move together
 TOGETHER = 8_000_000  # bytes of text whose tokens are looked up together
-BLOCK = 1 << 17  # tokens whose softmax is computed together
+BLOCK = 1 << 12  # tokens whose softmax is computed together: what that takes stays in the caches
 PARTS = 64  # blocks of the tables
 LANES = 32  # tasks' parts of a block are first added up in so many lanes
 TASK_TOKENS = 100_000_000  # tokens that a task of a round reads, at least, where there are more tasks than cores
@@ -230,19 +230,22 @@ def initial(counts: Counts, least: int = LEAST, most_rows: int = MOST_ROWS) -> M
     return Model(counts, counts.keys[order][by_key], by_key, parent, place, shares, np.zeros((rows, BRANCHES), np.float32), float(other))
 
 
-def observe(model: Model, keys: np.ndarray, bounds: np.ndarray, observed: np.ndarray, expected: np.ndarray) -> None:
-    """Add up in flat tables what each row's features saw, and what the model expected them to see."""
+def observe(model: Model, keys: np.ndarray, bounds: np.ndarray, sums: np.ndarray) -> None:
+    """Add up in a flat table, rows x (observed, expected) x children, what each row's features saw, and
+    what the model expected them to see."""
     one, two, leaf = before(keys, bounds, 1), before(keys, bounds, 2), model.leaves_of(keys)
-    each = np.arange(BRANCHES)
+    each, wide = np.arange(BRANCHES, 2 * BRANCHES), 2 * BRANCHES
+    start = None if model.weights.any() else np.exp(model.shares)
     for first in range(0, len(leaf), BLOCK):
         part = slice(first, first + BLOCK)
         at, above, child = model.way(leaf[part])
         rows = features(one[part][at], two[part][at], above, len(model.weights))
-        p = softmax(model, above, rows).reshape(-1)
+        p = (softmax(model, above, rows) if start is None else start[above]).reshape(-1)
         seen = np.ones(len(at), np.float32)
         for row in rows:
-            np.add.at(observed, row * BRANCHES + child, seen)
-            np.add.at(expected, ((row * BRANCHES)[:, None] + each).reshape(-1), p)
+            row = row * wide
+            np.add.at(sums, row + child, seen)
+            np.add.at(sums, (row[:, None] + each).reshape(-1), p)
 
 
 def moved(observed: np.ndarray, expected: np.ndarray) -> np.ndarray:
@@ -280,28 +283,29 @@ def improve(model: Model, docs: DataFrame, text: str, rounds: int = ROUNDS) -> M
         return model
     texts = docs.select(whole_text(text).alias("text"))
     tasks = max(spark.sparkContext.defaultParallelism, model.counts.total // TASK_TOKENS)
-    size = model.weights.size
-    step = -(-len(model.weights) // PARTS) * BRANCHES
+    step = -(-len(model.weights) // PARTS)
     for turn in range(rounds):
         shared = spark.sparkContext.broadcast(replace(model, counts=None))
 
         def work(batches, shared=shared):
             from pyspark import TaskContext
 
-            now, sums = shared.value, np.zeros((2, size), np.float32)
+            now = shared.value
+            sums = np.zeros(2 * now.weights.size, np.float32)
             for batch in batches:
                 for _, part in pieces(batch, "text", TOGETHER):
-                    observe(now, *tokens(part), *sums)
-            for i in range(0, size, step):
-                yield {"block": [i // step], "lane": [TaskContext.get().partitionId() % LANES], "value": [packed(sums[:, i : i + step].reshape(-1))]}
+                    observe(now, *tokens(part), sums)
+            size = 2 * BRANCHES * step
+            for i in range(0, len(sums), size):
+                yield {"block": [i // size], "lane": [TaskContext.get().partitionId() % LANES], "value": [packed(sums[i : i + size])]}
 
         share = texts.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == turn).coalesce(tasks)
         got = _add_up(arrow_rows(share, work, "block int, lane int, value binary"), tasks).toArrow()
         shared.unpersist()
         weights = model.weights.copy()
         for block, value in zip(got.column("block").to_pylist(), got.column("value"), strict=True):
-            observed, expected = unpacked(value.as_py()).reshape(2, -1, BRANCHES)
-            weights[block * step // BRANCHES :][: len(observed)] += moved(observed, expected)
+            part = unpacked(value.as_py()).reshape(-1, 2, BRANCHES)
+            weights[block * step :][: len(part)] += moved(part[:, 0], part[:, 1])
         model = replace(model, weights=weights)
     return model
 

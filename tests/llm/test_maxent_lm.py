@@ -122,10 +122,11 @@ def test_observed_less_expected_is_the_gradient(fitted):
     rng = np.random.default_rng(0)
     keys = rng.choice(model.words, 300)
     bounds = np.array([0, 120, 300])
-    sums = np.zeros((2, model.weights.size), np.float32)
-    lm.observe(model, keys, bounds, *sums)
-    assert sums[0].sum() == pytest.approx(sums[1].sum(), rel=1e-4)
-    grad = (sums[0] - sums[1]).reshape(model.weights.shape)
+    sums = np.zeros(2 * model.weights.size, np.float32)
+    lm.observe(model, keys, bounds, sums)
+    sums = sums.reshape(-1, 2, lm.BRANCHES)
+    assert sums[:, 0].sum() == pytest.approx(sums[:, 1].sum(), rel=1e-4)
+    grad = sums[:, 0] - sums[:, 1]
     likelihood = lambda: lm.log_prob(model, lm.before(keys, bounds, 2), lm.before(keys, bounds, 1), model.leaves_of(keys)).sum()
     for at in [np.unravel_index(i, grad.shape) for i in np.argsort(-np.abs(grad), axis=None)[:6]]:
         held = model.weights[at]
