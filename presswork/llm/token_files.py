@@ -12,6 +12,7 @@ the vocabulary's rules look at no neighbour beyond it, so a text's ids are those
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from functools import lru_cache
@@ -30,6 +31,8 @@ LENGTH = 2048
 KEPT_WORDS = 1_000_000
 # sequences of a batch of a file
 BATCH = 256
+# text of a file, about
+PART_BYTES = 64 << 20
 
 
 class WordEncoder(dict):
@@ -56,6 +59,9 @@ class WordEncoder(dict):
         small = _lower(text)
         if any(s in small for s in self.special):
             return self._whole(text)
+        if not small.isascii() and _JOINING.search(small):
+            # a normal form may join a capital with what follows it, so such words keep their letters
+            return b"".join(self[_lower(w) if w.isascii() else w] for w in _BLANKS.split(text))
         return b"".join(map(self.__getitem__, small.split(" ")))
 
     def _whole(self, text: str) -> bytes:
@@ -83,6 +89,10 @@ _UPPER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)} | {c: 0x20 for c in
 _BYTES = bytes(_UPPER.get(i, i) for i in range(256))
 
 
+_JOINING = re.compile("[^\x00-\u02ff]")
+_BLANKS = re.compile("[\t-\r ]+")
+
+
 def _lower(text: str) -> str:
     """Small letters for A-Z, and a blank for each white-space character of ASCII."""
     return text.encode().translate(_BYTES).decode()
@@ -157,13 +167,17 @@ def write_token_files(
 
     part, tokens (path), index (path), n_docs, n_tokens, start (ids in the files before it).
     ``end`` follows each document. A null text counts as empty, a null key comes first; rows with
-    the same key are in no fixed order among themselves. Empty parts write no file.
+    the same key follow each other by the hash of their texts, so that one key may fill many files.
+    There is a file for ``PART_BYTES`` of text, and as many as shuffle partitions at least. Empty
+    parts write no file. Other columns are not read.
     """
     names_of(docs, [key, text])
     folder = folder or new_folder(docs.sparkSession, "tokens")
-    ordered = docs.select(F.col(key).alias("place"), whole_text(text).alias("text"))
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    ordered = ordered.repartitionByRange(parts, F.col("place").asc_nulls_first()).sortWithinPartitions(F.col("place").asc_nulls_first())
+    rows = docs.select(F.col(key).alias("place"), whole_text(text).alias("text"))
+    size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES), 1)
+    order = [F.col("place").asc_nulls_first(), F.col("hash")]
+    ordered = rows.withColumn("hash", F.xxhash64("text")).repartitionByRange(parts, *order).sortWithinPartitions(*order).drop("hash")
 
     def write(batches):
         from pyspark import TaskContext
@@ -208,12 +222,12 @@ class TokenFile:
         sizes = [self.file.get_batch(i).num_rows for i in range(self.file.num_record_batches)]
         self.starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
 
-    def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids (a view of the file) and mask (unpacked from its bits) of the i-th sequence."""
+    def sequence(self, i: int) -> tuple[np.ndarray, pa.BooleanArray]:
+        """Ids and mask of the i-th sequence, both views of the file; the mask keeps its bits packed."""
         b = int(np.searchsorted(self.starts, i, side="right")) - 1
         batch, at = self.file.get_batch(b), i - int(self.starts[b])
         ids, mask = (batch.column(c).values.slice(at * self.length, self.length) for c in (0, 1))
-        return ids.to_numpy(), mask.to_numpy(zero_copy_only=False)
+        return ids.to_numpy(), mask
 
     def ids(self, start: int, n: int) -> np.ndarray:
         """``n`` ids from the ``start``-th on; a view where they lie in one batch."""

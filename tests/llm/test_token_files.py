@@ -10,6 +10,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from pyspark.sql import functions as F
+
 from presswork.llm import token_files as tf
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -64,11 +66,13 @@ def test_documents(spark, length):
     for row in files.orderBy("part").collect():
         file = tf.TokenFile(row.tokens)
         assert file.length == length
-        parts = [file.sequence(i) for i in random.Random(1).sample(range(int(file.starts[-1])), int(file.starts[-1]))]
-        assert sum(int(m.sum()) for _, m in parts) == row.n_tokens
+        views = [file.sequence(i) for i in random.Random(1).sample(range(int(file.starts[-1])), int(file.starts[-1]))]
+        assert all(v.base is not None and m.buffers()[1].size >= length // 8 for v, m in views)
+        assert sum(m.true_count for _, m in views) == row.n_tokens
         for i in (0, int(file.starts[-1]) // 2, int(file.starts[-1]) - 1):
             values, mask = file.sequence(i)
-            assert np.array_equal(values[mask == 1], stream[row.start + i * length :][: int(mask.sum())])
+            mask = mask.to_numpy(zero_copy_only=False)
+            assert np.array_equal(values[mask], stream[row.start + i * length :][: int(mask.sum())])
             assert mask.all() or i == file.starts[-1] - 1
         file.close()
     tf.remove(files)
@@ -82,3 +86,18 @@ def test_odd_rows(spark):
     twice = tf.read_documents(tf.write_token_files(docs.unionByName(docs), PATH, 1)).collect()
     assert len(twice) == 12 and sorted(r.n_tokens for r in twice) == sorted([r[2] for r in got] * 2)
     assert tf.read_documents(tf.write_token_files(docs.where("false"), PATH, 1)).count() == 0
+
+
+def test_capitals_before_joining_marks():
+    for text in ("J\u030c", "Aj\u030c H\u0331 T\u0308x", "J\u030c, and Plain Words"):
+        assert ids(text) == TOKENIZER.encode(text, add_special_tokens=False).ids
+
+
+def test_one_key_fills_many_files(spark, monkeypatch):
+    monkeypatch.setattr(tf, "PART_BYTES", 2000)
+    docs = spark.range(300).select(F.when(F.col("id") > 20, F.lit(7)).otherwise(F.col("id")).alias("doc_id"), F.concat(F.lit("text number "), "id").alias("text"))
+    files = tf.write_token_files(docs, PATH, 1)
+    assert files.count() > 1
+    got = tf.read_documents(files).orderBy("start").collect()
+    assert [r.doc_id for r in got] == sorted([r.doc_id for r in docs.collect()])
+    assert [r.start for r in got] == np.concatenate([[0], np.cumsum([r.n_tokens for r in got])])[:-1].tolist()
