@@ -37,16 +37,11 @@ def uniform(key: Column) -> Column:
     return (F.conv(digits, 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
-def sized(docs: DataFrame, key: str, text: str, source: str, quality) -> DataFrame:
-    """Adds _src (source as a sortable text, null last), _size and _key to ``docs``."""
+def measured(key: str, text: str, source: str, quality) -> list[Column]:
+    """id, _src (source as a sortable text, null last), _size and _key of a row."""
     src = F.when(F.col(source).isNull(), F.lit("t")).otherwise(F.concat(F.lit("s"), F.col(source).cast("string")))
-    return docs.withColumns(
-        {
-            "_src": src,
-            "_size": word_count(F.col(text)),
-            "_key": -F.ln(uniform(F.col(key))) / quality(whole_text(text)),
-        }
-    )
+    drawn = -F.ln(uniform(F.col(key))) / quality(whole_text(text))
+    return [F.col(key).alias("id"), src.alias("_src"), word_count(F.col(text)).alias("_size"), drawn.alias("_key")]
 
 
 def allot(sources: DataFrame, weights=WEIGHTS, share=SHARE, most: int = MOST_EPOCHS) -> DataFrame:
@@ -102,10 +97,10 @@ def cuts(rows: DataFrame) -> DataFrame:
     return staged(counted.join(last, "_src", "left"), "cuts")
 
 
-def with_copies(rows: DataFrame, cut: DataFrame, key: str) -> DataFrame:
+def with_copies(rows: DataFrame, cut: DataFrame) -> DataFrame:
     """``rows`` with _copies, how often the mix takes each, beside the columns of its cut."""
     placed = lookup_join(rows, cut, "_src", weight="n", broadcast_rows=BROADCAST_ROWS)
-    begun = F.coalesce(F.struct(F.col("_key"), F.col(key).alias("id")) <= F.col("last"), F.lit(False))
+    begun = F.coalesce(F.struct("_key", "id") <= F.col("last"), F.lit(False))
     return placed.withColumn("_copies", F.when(F.col("_size") == 0, 0).otherwise(F.col("epochs") + begun.cast("long")))
 
 
@@ -119,9 +114,8 @@ def mixture(
     The draw depends on the key alone, so reruns agree. An empty table gives no rows.
     """
     names_of(docs, [key, text, source])
-    rows = sized(docs.select(key, text, source), key, text, source, quality)
-    rows = staged(rows.select(F.col(key).alias("id"), "_src", "_size", "_key"), "sizes")
-    mixed = with_copies(rows, cuts(rows), "id")
+    rows = staged(docs.select(*measured(key, text, source, quality)), "sizes")
+    mixed = with_copies(rows, cuts(rows))
     return mixed.select(
         F.col("id").alias(key),
         F.col("_size").alias("size"),
@@ -132,9 +126,13 @@ def mixture(
 
 
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", quality=quality_weight) -> DataFrame:
-    """The mixed documents themselves: each row as often as the mix takes it, columns as given."""
+    """The mixed documents themselves: each row as often as the mix takes it, columns as given.
+
+    Rows that the mix does not take, those without a word among them, are left out; the rest is as
+    in ``mixture``. Other columns are carried whole, whatever their names.
+    """
     names_of(docs, [key, text, source])
-    rows = sized(docs, key, text, source, quality)
-    narrow = staged(rows.select(F.col(key).alias("id"), "_src", "_size", "_key"), "sizes")
-    mixed = with_copies(rows, cuts(narrow), key)
-    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).where("_copies > 0").select(*docs.columns)
+    columns = measured(key, text, source, quality)
+    narrow = staged(docs.select(*columns), "sizes")
+    mixed = with_copies(docs.select(F.struct("*").alias("_row"), *columns), cuts(narrow)).where("_copies > 0")
+    return mixed.select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select("_row.*")

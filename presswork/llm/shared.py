@@ -30,7 +30,7 @@ def kept_rows(docs: DataFrame, decided: DataFrame, key: str, told: Column) -> Da
 
     ``decided`` has one row (key, print, kept) for each row of a group, ``told`` makes the print of
     a row of ``docs``. A row is known by key and print, where a null key equals a null key. Of rows
-    that agree in both and of which one is kept, one stays.
+    that agree in both and of which one is kept, one stays: the first by all its columns as text.
     """
     pairs = decided.groupBy("key", "print").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
     pairs = staged(pairs.where("n > 1 or not kept"), "decided")
@@ -46,7 +46,7 @@ def kept_rows(docs: DataFrame, decided: DataFrame, key: str, told: Column) -> Da
     repeated = pairs.where("kept")
     if repeated.isEmpty():
         return left
-    one = matched(repeated, "left_semi").groupBy("key", "print").agg(F.first("row").alias("row"))
+    one = matched(repeated, "left_semi").groupBy("key", "print").agg(F.min_by("row", F.to_json("row")).alias("row"))
     return left.unionByName(one.select("row.*"))
 
 

@@ -73,6 +73,18 @@ def test_mixture_on_odd_rows(spark):
     assert mixed.columns == docs.columns and mixed.count() == sum(r.taken // r.size for r in got if r.size)
 
 
+def test_mix_carries_columns_of_any_name(spark):
+    docs = spark.createDataFrame(ROWS, SCHEMA)
+    plain = sorted(str(tuple(r)) for r in mixing.mix(docs).collect())
+    names = ["target", "n", "last", "epochs", "_size", "_copies", "_src", "_key", "source_size", "row", "_row", "id", "col", "_copy"]
+    odd = docs.select("*", *[F.lit(f"own {c}").alias(c) for c in names if c not in docs.columns])
+    found = mixing.mix(odd)
+    assert found.columns == odd.columns
+    assert sorted(str(tuple(r)) for r in found.select(docs.columns).collect()) == plain
+    for c in set(names) - set(docs.columns):
+        assert {r[0] for r in found.select(c).distinct().collect()} == {f"own {c}"}
+
+
 def test_mixture_meets_its_targets(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     sums = mixing.mixture(docs).join(docs.select("doc_id", "source"), "doc_id").groupBy("source")
