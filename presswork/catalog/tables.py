@@ -13,6 +13,7 @@ from presswork.functions.wordlists import CLASS_NAMES
 from presswork.operators import sampling as sm
 from presswork.operators import tables as tb
 from presswork.plans.stage import stage_folder
+from presswork.sources import numpy_files as nf
 from presswork.sources import tables as src
 
 NAMES_SQL = "names AS (SELECT * FROM (VALUES " + ", ".join(
@@ -83,6 +84,15 @@ def save_and_load_vectors(spark, folder):
     return loaded.withColumn("pos", F.col("pos").cast("bigint"))
 
 
+@query("S8", "SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) - 1 AS pos FROM embeddings")
+def save_and_load_numpy(spark, folder):
+    """Vectors written as NumPy archives by tasks and read back by ranges of rows."""
+    path = _path(spark, "numpy")
+    nf.save_numpy(table(spark, folder, "embeddings"), path, "vec_id", "embedding")
+    loaded = nf.load_numpy(spark, path).select(F.col("key").alias("vec_id"), F.posexplode("vector").alias("pos", "x"))
+    return loaded.withColumn("pos", F.col("pos").cast("bigint"))
+
+
 @query("P1", "SELECT doc_id AS id, text AS content, lang AS language, source AS origin, n_chars AS size FROM documents")
 def rename_columns(spark, folder):
     return tb.rename_all(table(spark, folder, "documents"), ["id", "content", "language", "origin", "size"])
