@@ -142,23 +142,38 @@ def features(one: np.ndarray, two: np.ndarray, above: np.ndarray, rows: int) ->
     return [(mix64(k ^ node) & np.uint64(rows - 1)).astype(np.int64) for k in kinds]
 
 
-def softmax(model: Model, above: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
-    """Probabilities of all children of classes; weights are bounded, so nothing overflows."""
-    x = model.shares[above]
+class Workspace:
+    """Arrays that blocks of tokens use again and again: fresh ones of this size would cost a page fault each 4 KB."""
+
+    def __init__(self):
+        self.held: dict[str, np.ndarray] = {}
+
+    def get(self, name: str, n: int, kind: type) -> np.ndarray:
+        """An array n x BRANCHES with any content."""
+        kept = self.held.get(name)
+        if kept is None or len(kept) < n:
+            kept = self.held[name] = np.empty((n + n // 4, BRANCHES), kind)
+        return kept[:n]
+
+
+def softmax(model: Model, above: np.ndarray, rows: list[np.ndarray], space: Workspace) -> np.ndarray:
+    """Probabilities of all children of classes, in the workspace; weights are bounded, so nothing overflows."""
+    x, y = (space.get(name, len(above), np.float32) for name in "xy")
+    np.take(model.shares, above, axis=0, out=x, mode="clip")
     for row in rows:
-        x += model.weights[row]
+        x += np.take(model.weights, row, axis=0, out=y, mode="clip")
     np.exp(np.minimum(x, 60.0, out=x), out=x)
-    x /= np.maximum(x @ np.ones(x.shape[1], np.float32), np.float32(1e-37))[:, None]
+    x /= np.maximum(x @ np.ones(BRANCHES, np.float32), np.float32(1e-37))[:, None]
     return x
 
 
 def log_prob(model: Model, two: np.ndarray, one: np.ndarray, leaf: np.ndarray) -> np.ndarray:
     """Natural log probability of leaves after two tokens, told by their keys."""
-    out = np.zeros(len(leaf))
+    out, space = np.zeros(len(leaf)), Workspace()
     for first in range(0, len(leaf), BLOCK):
         part = slice(first, first + BLOCK)
         at, above, child = model.way(leaf[part])
-        p = softmax(model, above, features(one[part][at], two[part][at], above, len(model.weights)))
+        p = softmax(model, above, features(one[part][at], two[part][at], above, len(model.weights)), space)
         log = np.log(np.maximum(p[np.arange(len(at)), child], 1e-37).astype(np.float64))
         out[part] = np.bincount(at, weights=log, minlength=len(leaf[part]))
     return out
@@ -234,18 +249,21 @@ def observe(model: Model, keys: np.ndarray, bounds: np.ndarray, sums: np.ndarray
     """Add up in a flat table, rows x (observed, expected) x children, what each row's features saw, and
     what the model expected them to see."""
     one, two, leaf = before(keys, bounds, 1), before(keys, bounds, 2), model.leaves_of(keys)
-    each, wide = np.arange(BRANCHES, 2 * BRANCHES), 2 * BRANCHES
+    each, wide, space = np.arange(BRANCHES, 2 * BRANCHES), 2 * BRANCHES, Workspace()
     start = None if model.weights.any() else np.exp(model.shares)
     for first in range(0, len(leaf), BLOCK):
         part = slice(first, first + BLOCK)
         at, above, child = model.way(leaf[part])
         rows = features(one[part][at], two[part][at], above, len(model.weights))
-        p = (softmax(model, above, rows) if start is None else start[above]).reshape(-1)
-        seen = np.ones(len(at), np.float32)
+        if start is None:
+            p = softmax(model, above, rows, space)
+        else:
+            p = np.take(start, above, axis=0, out=space.get("x", len(at), np.float32), mode="clip")
+        seen, cells = np.ones(len(at), np.float32), space.get("cells", len(at), np.int64)
         for row in rows:
             row = row * wide
             np.add.at(sums, row + child, seen)
-            np.add.at(sums, (row[:, None] + each).reshape(-1), p)
+            np.add.at(sums, np.add(row[:, None], each, out=cells).reshape(-1), p.reshape(-1))
 
 
 def moved(observed: np.ndarray, expected: np.ndarray) -> np.ndarray:
