@@ -9,7 +9,9 @@ from presswork.catalog import fragments as sql
 from presswork.catalog.registry import CORPUS_SQL, corpus, documents, query, table
 from presswork.functions import text as tx
 from presswork.operators import cleaning as cl
+from presswork.operators import sentences as st
 from presswork.operators.terms import top_terms
+from presswork.plans import staged
 
 
 def rejected(spark: SparkSession, folder: str) -> DataFrame:
@@ -94,6 +96,41 @@ def treebank_tokens(spark, folder):
     )
 
 
+SCORES_SQL = r"""seen AS (SELECT unnest(list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\r\f]+'), lambda t: t <> '')) AS token FROM documents),
+    counted AS (SELECT CASE WHEN regexp_matches(token, '^[A-Za-z][A-Za-z.]*$') THEN regexp_replace(lower(token), '[.]$', '') END AS word,
+      count(*) FILTER (token LIKE '%.') AS with_period, count(*) FILTER (token NOT LIKE '%.') AS without_period FROM seen GROUP BY word),
+    totals AS (SELECT sum(with_period) / sum(with_period + without_period) AS p FROM counted),
+    scores AS (SELECT word, with_period, without_period, length(word) - length(replace(word, '.', '')) AS inside, length(replace(word, '.', '')) AS letters,
+      2 * (with_period * ln(0.99::DOUBLE / p) + without_period * (ln(1 - 0.99::DOUBLE) - ln(1 - p))) * exp(-letters) * (inside + 1)
+        * pow(letters::DOUBLE, -without_period) AS score FROM counted, totals WHERE word IS NOT NULL AND with_period > 0)"""
+
+
+@query("X7", f"WITH {SCORES_SQL} SELECT word, with_period, without_period, round(score, 6) + 0.0 AS score FROM scores")
+def abbreviation_scores(spark, folder):
+    """How much each word of the corpus behaves like an abbreviation."""
+    return st.abbreviation_scores(documents(spark, folder)).withColumn("score", F.round("score", 6) + 0.0)
+
+
+@query(
+    "X7",
+    rf"""WITH {SCORES_SQL},
+    placed AS (SELECT doc_id, token, pos, lead(token) OVER (PARTITION BY doc_id ORDER BY pos) AS after FROM (SELECT doc_id, unnest(t) AS token,
+      generate_subscripts(t, 1) AS pos FROM (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ 	
+]+'), lambda t: t <> '') AS t FROM documents))),
+    ends AS (SELECT p.*, regexp_full_match(token, '.*[.!?]["'')\]]*') AND NOT regexp_full_match(token, '[A-Za-z][.]')
+      AND NOT (regexp_full_match(token, '[A-Za-z][A-Za-z.]*[.]') AND s.word IS NOT NULL)
+      AND coalesce(regexp_matches(after, '^["''(\[]*[A-Z0-9]'), false) AS stops
+      FROM placed p LEFT JOIN scores s ON s.score >= 0.3 AND s.word = regexp_replace(lower(token), '[.]$', '')),
+    numbered AS (SELECT doc_id, token, pos, coalesce(sum(stops::INT) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS n FROM ends)
+    SELECT doc_id, CAST(n AS INTEGER) AS n, string_agg(token, ' ' ORDER BY pos) AS sentence FROM numbered GROUP BY doc_id, n""",
+)
+def split_sentences(spark, folder):
+    """Sentences of every document, by abbreviations learned from all of them."""
+    docs = documents(spark, folder)
+    scores = staged(st.abbreviation_scores(docs), "scores")
+    return st.split_sentences(docs, scores).select("doc_id", F.posexplode("sentences").alias("n", "sentence"))
+
+
 @query("X8", f"SELECT doc_id, {sql.joined(sql.lowered(sql.treebank('text')))} AS tokens FROM documents")
 def lower_tokens(spark, folder):
     return documents(spark, folder).select(
