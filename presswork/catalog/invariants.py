@@ -74,15 +74,16 @@ def logistic_balance(spark, folder):
 
 @query(
     "M4",
-    f"""WITH {CORPUS_SQL} SELECT CAST(c - 1 AS INTEGER) AS class_id, count(*) FILTER (category = c) AS hits
+    f"""WITH {CORPUS_SQL} SELECT CAST(c - 1 AS INTEGER) AS class_id, count(*) FILTER (category = c) AS rows, true AS few_missed
     FROM corpus, {KINDS} WHERE split = 'train' GROUP BY c""",
 )
 def tree_recall(spark, folder):
-    """A deep tree with leaves of one row finds its training rows again, but for rows in one bin of every position."""
+    """A deep tree with leaves of one row finds its training rows again; rows in one bin of every position
+    cannot be told apart, which may hide one in twenty."""
     train = corpus(spark, folder).where(TRAIN).select("doc_id")
     scored = cm.decision_tree(spark, folder).join(train, "doc_id", "left_semi")
-    sums = scored.groupBy("class_id").agg(F.sum("y").cast("bigint").alias("rows"), F.sum(F.col("y") * F.col("pred")).cast("bigint").alias("found"))
-    return sums.select("class_id", F.when(F.col("found") >= 0.95 * F.col("rows"), F.col("rows")).otherwise(F.col("found")).alias("hits"))
+    sums = scored.groupBy("class_id").agg(F.sum("y").cast("bigint").alias("rows"), F.sum(F.col("y") * (1 - F.col("pred"))).alias("missed"))
+    return sums.select("class_id", "rows", (F.col("missed") <= 0.05 * F.col("rows")).alias("few_missed"))
 
 
 @query(
@@ -143,11 +144,12 @@ def svm_grid_keys(spark, folder):
 # three losses and penalties x eight costs x nine tolerances x five folds: the smooth ones reach every tolerance
 @query("V4", "SELECT l AS loss, p AS l1, 360::BIGINT AS fits, true AS optimal FROM (VALUES ('hinge', 'False'), ('squared_hinge', 'False'), ('squared_hinge', 'True')) v(l, p)")
 def svm_grid_optimum(spark, folder):
-    """Every squared-hinge setting meets its tolerance; every hinge of a cost up to 1 has a dual value within 5 % of its own."""
+    """Every squared-hinge setting meets its tolerance; of hinges of costs up to 1 the dual value is within the
+    tolerance or a hundredth of their own."""
     rows = cm.grid_search_svm(spark, folder)
     part = lambda name: F.regexp_extract("setting", rf"\b{name}=([^,]+)", 1)
     rows = rows.select(part("loss").alias("loss"), part("l1").alias("l1"), part("c").cast("double").alias("c"), part("tol").cast("double").alias("tol"), "distance")
-    hinge = (F.col("c") > 1) | (F.col("tol") < 0.05) | (F.col("distance") <= 0.05)
+    hinge = (F.col("c") > 1) | (F.col("distance") <= F.greatest(F.col("tol"), F.lit(0.01)))
     met = F.when(F.col("loss") == "hinge", hinge).otherwise(F.col("distance") <= F.col("tol"))
     return rows.groupBy("loss", "l1").agg(F.count(F.lit(1)).alias("fits"), F.every(met).alias("optimal"))
 
@@ -223,7 +225,7 @@ def projection_axes(spark, folder):
 @query(
     "F14",
     f"""WITH {CORPUS_SQL}, seen AS (SELECT doc_id, unnest({sql.words('text')}) AS term FROM corpus),
-    vocab AS (SELECT term FROM (SELECT DISTINCT doc_id, term FROM seen) GROUP BY term HAVING count(*) >= 5)
+    vocab AS (SELECT term FROM (SELECT DISTINCT doc_id, term FROM seen) GROUP BY term HAVING count(*) >= 2)
     SELECT doc_id, CAST(count(term) > 0 AS BIGINT) AS total FROM corpus LEFT JOIN (SELECT * FROM seen JOIN vocab USING (term)) USING (doc_id)
     GROUP BY doc_id""",
 )

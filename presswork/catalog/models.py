@@ -12,7 +12,6 @@ from presswork.catalog.registry import CLASSES, corpus, documents, query, table
 from presswork.catalog.vectors import word_vectors
 from presswork.functions import text as tx
 from presswork.operators import bayes as nb
-from presswork.operators import clusters as ct
 from presswork.operators import ensembles as en
 from presswork.operators import explain as ex
 from presswork.operators import kernel_shap as ks

@@ -84,7 +84,7 @@ def cluster_centers(spark, folder):
 def train_word2vec(spark, folder):
     """Word vectors trained on the cleaned corpus, saved and read back."""
     docs = corpus(spark, folder).select("doc_id", tx.clean_text(F.col("text")).alias("cleaned"))
-    vectors = vc.train_word2vec(docs, tx.wordpunct_tokens(F.col("cleaned")), size=100, window=20)
+    vectors = vc.train_word2vec(docs, tx.wordpunct_tokens(F.col("cleaned")), size=100, window=20, iterations=50)
     path = _path(spark, "word-vectors")
     src.save_vectors(vectors, path)
     return vc.long_vectors(src.load_vectors(spark, path), "word", "vector")

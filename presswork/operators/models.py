@@ -115,15 +115,6 @@ def linear_table(model: BinaryRelevance) -> list[tuple[int, list[float], float]]
     return [(i, [float(x) for x in m.coefficients.toArray()], float(m.intercept)) for i, m in enumerate(model.models)]
 
 
-def weight_table(df_or_spark, model: BinaryRelevance) -> DataFrame:
-    """(class_id, position, weight) with the bias at position -1; model-sized."""
-    rows = []
-    for i, coefficients, bias in linear_table(model):
-        rows.append((i, -1, bias))
-        rows += [(i, p, w) for p, w in enumerate(coefficients)]
-    return df_or_spark.createDataFrame(rows, "class_id INT, position BIGINT, weight DOUBLE")
-
-
 def fit_one_vs_rest(df: DataFrame, estimator: Estimator, category: str = "category"):
     """Argmax multiclass model on a one-dimensional label (0-based)."""
     labelled = df.withColumn("label", F.col(category).cast("double") - 1)

@@ -143,3 +143,30 @@ def test_linear_shapley_is_exact(spark):
         assert r.probability == pytest.approx(1 / (1 + np.exp(-margin)))
 
 
+
+
+def test_sampled_shapley_values_are_near_the_exact_ones(spark):
+    import itertools
+    import math
+
+    rng = np.random.default_rng(4)
+    vectors = rng.standard_normal((12, 6))
+    w, b = rng.standard_normal((2, 6)), rng.standard_normal(2)
+    docs = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "doc_id long, vec array<double>")
+    ground = vectors[:5]
+    got = {(r.doc_id, r.class_id, r.position): r.phi for r in ex.shapley_sampled(docs, docs.where("doc_id < 5"), w.tolist(), b.tolist()).collect()}
+
+    def probability(x, inside):
+        mixed = np.where(np.isin(np.arange(6), list(inside)), x, ground)
+        return (1 / (1 + np.exp(-(mixed @ w.T + b)))).mean(axis=0)
+
+    errors = []
+    for i in range(5, 9):
+        for p in range(6):
+            exact = 0
+            for size in range(6):
+                share = math.factorial(size) * math.factorial(5 - size) / math.factorial(6)
+                for inside in itertools.combinations([q for q in range(6) if q != p], size):
+                    exact = exact + share * (probability(vectors[i], {*inside, p}) - probability(vectors[i], inside))
+            errors += [abs(got[i, c, p] - exact[c]) for c in range(2)]
+    assert max(errors) < 0.02 and np.mean(errors) < 0.005
