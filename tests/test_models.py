@@ -170,3 +170,24 @@ def test_sampled_shapley_values_are_near_the_exact_ones(spark):
                     exact = exact + share * (probability(vectors[i], {*inside, p}) - probability(vectors[i], inside))
             errors += [abs(got[i, c, p] - exact[c]) for c in range(2)]
     assert max(errors) < 0.02 and np.mean(errors) < 0.005
+
+
+def test_an_order_and_its_reverse_are_switched_in_full(spark):
+    """Values of a few rows by the definition: one position after the other, in the same orders."""
+    rng = np.random.default_rng(4)
+    w, b = rng.standard_normal((3, 5)), [0.1, -0.2, 0.3]
+    x, ground = rng.standard_normal((4, 5)), rng.standard_normal((3, 5))
+    frame = lambda rows: spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(rows)], "doc_id long, vec array<double>")
+    for turns in (4, 3):
+        got = ex.shapley_sampled(frame(x), frame(ground), w, b, permutations=turns).toPandas()
+        for i in range(4):
+            draw, want, order = np.random.default_rng([0, i]), np.zeros((5, 3)), None
+            for turn in range(turns):
+                order = order[::-1] if turn % 2 else draw.permutation(5)
+                now = ground.copy()
+                for p in order:
+                    before = 1 / (1 + np.exp(-(now @ w.T + b)))
+                    now[:, p] = x[i, p]
+                    want[p] += (1 / (1 + np.exp(-(now @ w.T + b))) - before).mean(axis=0) / turns
+            mine = got[got.doc_id == i].sort_values(["position", "class_id"]).phi.to_numpy().reshape(5, 3)
+            assert np.abs(mine - want).max() < 1e-12
