@@ -96,3 +96,66 @@ def test_one_long_text_does_not_empty_the_sample(spark):
 def test_rows_that_fit():
     rows = [type("Row", (), {"row": i, "n": n}) for i, n in enumerate([5, 20, 3, 2, 1])]
     assert tox.within(rows, 10) == [0, 2, 3]
+
+
+def worded(rows):
+    """(documents, labels) rows of (text, toxic), with keys in the order of their hash."""
+    docs = rows.select(F.col("id").alias("doc_id"), "text", F.lit("en").alias("lang"))
+    return docs, rows.select(F.col("id").alias("doc_id"), "toxic")
+
+
+def test_rows_past_the_first_twelve_thousand_teach(spark):
+    ids = spark.range(16_000).orderBy(F.xxhash64("id"), "id").toPandas().reset_index(names="place")
+    rows = spark.createDataFrame(ids).withColumn("toxic", (F.col("place") % 4 == 0).cast("int"))
+    plain = F.concat_ws(" ", *[F.concat(F.lit("w"), F.pmod(F.xxhash64("id", F.lit(i)), F.lit(200))) for i in range(6)])
+    bad = F.when(F.col("place") < 12_000, "awful").otherwise("vilest")
+    rows = rows.withColumn("text", F.when(F.col("toxic") == 1, F.concat_ws(" ", plain, bad)).otherwise(plain))
+    model = tox.train(*worded(rows), F.lit(True))
+    asked = spark.createDataFrame([("vilest", "w1 w2 vilest w3 w4 w5"), ("awful", "w1 w2 awful w3 w4 w5"), ("plain", "w1 w2 w3 w4 w5")], "doc_id string, text string")
+    got = {r.doc_id: r.score for r in tox.score(asked, model).collect()}
+    assert got["vilest"] >= tox.CUT and got["awful"] >= tox.CUT > got["plain"]
+
+
+def some_rows(spark, n):
+    rows = spark.range(n).withColumn("toxic", (F.col("id") % 3 == 0).cast("int"))
+    word = F.when(F.pmod(F.xxhash64("id"), F.lit(10)) == 0, "odd").when(F.col("toxic") == 1, "vilest").otherwise("plain")
+    return rows.withColumn("text", F.concat_ws(" ", F.concat(F.lit("w"), F.col("id") % 40), word, F.concat(F.lit("w"), F.col("id") % 7)))
+
+
+def test_one_shard_equals_training_at_hand(spark):
+    rows = some_rows(spark, 300)
+    model = tox.train(*worded(rows), F.lit(True))
+    parts = rows.withColumn("hold", F.pmod(F.xxhash64("id"), F.lit(5)) == 0).toPandas()
+    whole, begin, bounds = (x.astype(np.int64) for x in tox.buckets(pa.array(parts.text)))
+    parts["whole"], parts["begin"] = ([x[a:b].astype(tox.STORED) for a, b in zip(bounds[:-1], bounds[1:], strict=True)] for x in (whole, begin))
+    place = spark.createDataFrame(
+        [(i, w.size, w.tobytes(), b.tobytes()) for i, w, b in zip(parts.id.tolist(), parts.whole, parts.begin, strict=True)], "key long, n long, whole binary, begin binary"
+    ).select("key", F.xxhash64("key", "n", "whole", "begin").alias("place"))
+    parts = parts.merge(place.toPandas(), left_on="id", right_on="key").sort_values("place")
+    texts = list(zip(parts.whole, parts.begin, strict=True))
+    plain = tox.fit(texts, parts.toxic.to_numpy(), ["en"] * 300, parts.hold.to_numpy())
+    assert np.allclose(model.out, plain.out) and np.allclose(model.word, plain.word) and np.allclose(model.prior, plain.prior)
+    assert all(np.allclose(a, b) for a, b in zip(model.filters + model.bias, plain.filters + plain.bias, strict=True))
+    assert np.allclose(model.word_given_language, plain.word_given_language)
+    assert np.allclose(model.thresholds, plain.thresholds) and abs(model.threshold - plain.threshold) < 1e-9
+
+
+def test_shards_learn_together_and_again_the_same(spark, monkeypatch):
+    monkeypatch.setattr(tox, "SHARD_ROWS", 100)
+    rows = some_rows(spark, 900)
+    model, again = (tox.train(*worded(rows.repartition(n)), F.lit(True)) for n in (3, 5))
+    assert np.allclose(model.word, again.word) and np.allclose(model.out, again.out) and model.threshold == again.threshold
+    asked = spark.createDataFrame([("w1 vilest w2", 1), ("w1 plain w2", 0)], "text string, toxic int")
+    assert all(r.predicted == r.toxic for r in tox.score(asked, model).collect())
+
+
+def test_thresholds_over_a_table_equal_those_at_hand(spark):
+    rng = np.random.default_rng(5)
+    raw, language = np.round(rng.random(500), 2), rng.integers(0, 3, 500)
+    hit = (rng.random(500) < raw) & (language != 2)
+    scored = spark.createDataFrame([(int(a), float(b), int(c)) for a, b, c in zip(language, raw, hit, strict=True)], "language int, raw double, hit long")
+    got = {r.language: r for r in tox._best_thresholds(scored)}
+    for which, mine in ((-1, language >= 0), (0, language == 0), (1, language == 1)):
+        assert abs(got[which].at - tox._best_threshold(raw[mine], hit[mine])) < 1e-12
+        assert (got[which].hits, got[which].cases) == (hit[mine].sum(), mine.sum())
+    assert got[2].hits == 0 and got[2].at is None
