@@ -48,6 +48,43 @@ def test_vectors_of_unknown_words_are_zero(spark):
     assert got == {1: [2.0, 1.0], 2: [0.0, 0.0], 3: [0.0, 0.0]}
 
 
+def _word_rows(spark):
+    """Documents with repeated keys, texts of no known word, and words of zero to many documents; one word has two vectors."""
+    rng = np.random.default_rng(3)
+    names = [f"w{i}" for i in range(40)] + ["zzz"]
+    texts = [(d % 55, [names[int(i)] for i in np.minimum(rng.geometric(0.12, 1 + d % 30) - 1, 40)]) for d in range(60)]
+    texts += [(100, []), (101, None), (102, ["zzz", "zzz"]), (103, ["w3", None, "w3"])]
+    vectors = [(w, [float(x) for x in rng.normal(size=4)]) for w in [*names[:40], "w2"]]
+    docs = spark.createDataFrame(texts, "doc_id bigint, t array<string>").repartition(3)
+    return docs, spark.createDataFrame(vectors, "word string, vector array<float>")
+
+
+def _plain_means(docs, vectors):
+    known, words = {}, {}
+    for r in vectors.collect():
+        known.setdefault(r.word, []).append(np.array(r.vector))
+    for r in docs.collect():
+        words.setdefault(r.doc_id, []).extend(v for w in r.t or [] for v in known.get(w, []))
+    return {d: np.mean(v, axis=0) if v else np.zeros(4) for d, v in words.items()}
+
+
+@pytest.mark.parametrize("size", [4 << 20, 32 * 12, 1], ids=["all common", "some rare", "all rare"])
+def test_document_vectors_equal_plain_means(spark, monkeypatch, size):
+    monkeypatch.setattr(vc, "VECTOR_BYTES", size)
+    monkeypatch.setattr(vc, "ADDED_AT_ONCE", 7)
+    docs, vectors = _word_rows(spark)
+    got = vc.doc_embeddings(docs, F.col("t"), vectors).collect()
+    want = _plain_means(docs, vectors)
+    assert len(got) == docs.count()
+    assert all(np.allclose(r.vec, want[r.doc_id], atol=1e-12) for r in got)
+
+
+def test_words_of_most_documents_are_added_up_where_the_texts_lie(spark):
+    docs, vectors = _word_rows(spark)
+    plan = vc.doc_embeddings(docs, F.col("t"), vectors)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan  # no row for each word of a document
+
+
 @pytest.mark.parametrize(
     "fitter",
     [
