@@ -166,6 +166,59 @@ def test_local_surrogate_finds_the_driving_position(rows, logistic_parts):
     assert strongest.where("p < 3").count() > 0.9 * rows.count()
 
 
+def test_local_surrogate_equals_the_dense_one_in_little_memory(spark):
+    import tracemalloc
+
+    import pandas as pd
+
+    class Frame:  # gives the function that tasks would run
+        select = lambda self, *columns: self
+        mapInPandas = lambda self, run, schema: run
+
+    rng = np.random.default_rng(3)
+    size, samples, seed = 24, 5000, 1
+    data = rng.normal(size=(400, size))
+    quarters = np.percentile(data, [25, 50, 75], axis=0).T
+    rows = []
+    for p, (x, q) in enumerate(zip(data.T, quarters)):
+        bins = (x[:, None] > q).sum(axis=1)
+        rows += [(p, n, *(f(x[bins == n]) for f in (len, np.mean, np.std, np.min, np.max)), list(q)) for n in range(4)]
+    stats = pd.DataFrame(rows, columns=["p", "bin", "n", "mean", "std", "low", "high", "q"])
+    w, b = rng.normal(size=(3, size)), rng.normal(size=3)
+    run = ex.explain_local(Frame(), w, b, stats, samples=samples, k=4, seed=seed)
+    batch = pd.DataFrame({"doc_id": [5, 8], "vec": list(data[:2])})
+    next(run(iter([batch])))
+    tracemalloc.start()
+    got = next(run(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2 * samples * size * 8  # the dense way holds many arrays of samples x size numbers
+
+    low, high, mean, std, n = (stats[c].to_numpy().reshape(size, 4) for c in ("low", "high", "mean", "std", "n"))
+    for doc_id, x in zip(batch.doc_id, batch.vec):
+        draw = np.random.default_rng([seed, doc_id])
+        own = (x[:, None] > quarters).sum(axis=1)
+        edges = np.cumsum(n / n.sum(axis=1, keepdims=True), axis=1)
+        drawn = (draw.random((samples, size))[:, :, None] > edges[:, :3]).sum(axis=2)
+        drawn[0], at = own, np.arange(size)
+        value = np.clip(draw.standard_normal((samples, size)) * std[at, drawn] + mean[at, drawn], low[at, drawn], high[at, drawn])
+        value[0] = x
+        same = (drawn == own).astype(float)
+        weight = np.sqrt(np.exp((same.sum(axis=1) - size) / (0.75**2 * size)))
+        chance = 1 / (1 + np.exp(-(value @ w.T + b)))
+        top = int(np.argmax(chance[0]))
+
+        def ridge(z, y):
+            zc, yc = z - weight @ z / weight.sum(), y - weight @ y / weight.sum()
+            return np.linalg.solve(zc.T @ (zc * weight[:, None]) + np.eye(z.shape[1]), zc.T @ (weight * yc))
+
+        strongest = np.argsort(-np.abs(ridge(same, chance[:, top])))[:4]
+        expected = dict(zip(strongest.tolist(), ridge(same[:, strongest], chance[:, top])))
+        mine = got[got.doc_id == doc_id]
+        assert set(mine.class_id) == {top}
+        assert dict(zip(mine.position, mine.weight)) == pytest.approx(expected, rel=1e-9, abs=1e-12)
+
+
 def test_linear_shapley_is_exact(spark):
     cells = spark.createDataFrame([(1, "a", 2), (1, "b", 1), (2, "b", 3), (3, "c", 1)], "doc_id bigint, term string, n bigint")
     docs_ = spark.createDataFrame([(1,), (2,), (3,), (4,)], "doc_id bigint")
