@@ -8,6 +8,7 @@ from presswork.functions import text as tx
 from presswork.operators import selection as sel
 from presswork.operators import tables as tb
 from presswork.operators import terms as tm
+from presswork.plans import staged
 
 TEXTS = ["oil price oil", "oil market", "game team price", "team team", "", "market price game"]
 
@@ -59,3 +60,16 @@ def test_describe_by_takes_smallest_of_equal_tops(spark):
     df = spark.createDataFrame([(1, "b"), (1, "a"), (1, None), (2, "z"), (2, "z")], "category int, t string")
     rows = {r.category: tuple(r)[2:] for r in tb.describe_by(df, "category", ["t"]).collect()}
     assert rows == {1: (2, 2, "a", 1), 2: (2, 1, "z", 2)}
+
+
+def test_encoded_words_keep_texts_in_their_slices(spark, monkeypatch):
+    monkeypatch.setattr(tm, "WORDS_AT_ONCE", 3)
+    rows = [(1, ["a", "b", "a", "x"]), (2, []), (3, None), (None, ["a"]), (4, ["b", None, "c"]), (5, ["c"]), (5, ["b", "a"]), (6, ["x"])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, words array<string>").repartition(2, "words")
+    ids = spark.createDataFrame([("a", 4, 1), ("b", 3, 2), ("c", 2, 3)], "word string, n bigint, word_id bigint")
+    made = []
+    monkeypatch.setattr(tm, "lookup_join", lambda big, *a, f=tm.lookup_join, **b: (made.append(big.columns), f(big, *a, **b))[1])
+    got = sorted((r.doc_id or 0, r.word_ids) for r in tm.encode_words(docs, F.col("words"), staged(ids, "ids")).collect())
+    assert got == [(0, []), (1, [1, 2, 1]), (2, []), (3, []), (4, [2, 3]), (5, [2, 3, 1]), (5, [2, 3, 1]), (6, [])]
+    # a row for each word of a slice moves; a row for each place only where rows share a key
+    assert made == [["of", "at", "word"], ["doc_id", "pos", "word"]]
